@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup
+from millrace.llm import line_dedup, minhash
 from millrace.llm.common import read
 
 
@@ -10,8 +10,13 @@ def op6_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"), threshold=10)
 
 
+def op8_minhash(spark, sf_dir):
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=3, num=85, den=100)
+
+
 QUERIES = {
     "op6_line_dedup": op6_line_dedup,
+    "op8_minhash": op8_minhash,
 }
 
 ORACLES = {
