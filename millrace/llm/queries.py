@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, minhash
+from millrace.llm import line_dedup, minhash, packing
 from millrace.llm.common import read
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op4_packing(spark, sf_dir):
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(), window=2048, end=1)
+
+
 def op6_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"), threshold=10)
 
@@ -15,6 +25,7 @@ def op8_minhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op4_packing": op4_packing,
     "op6_line_dedup": op6_line_dedup,
     "op8_minhash": op8_minhash,
 }
