@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, minhash, packing
+from millrace.llm import line_dedup, minhash, packing, quality, spotsigs, toxicity
 from millrace.llm.common import read
 
 
@@ -12,10 +12,22 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_spotsigs(spark, sf_dir):
+    return spotsigs.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark, sf_dir):
+    return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark, sf_dir):
     return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path(), window=2048, end=1)
 
 
+def op5_quality(spark, sf_dir):
+    return quality.quality_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"), threshold=10)
 
@@ -25,7 +37,10 @@ def op8_minhash(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_spotsigs": op1_spotsigs,
+    "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
+    "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op8_minhash": op8_minhash,
 }
