@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, minhash, packing, quality, spotsigs, toxicity
+from millrace.llm import line_dedup, minhash, packing, quality, secrets, spotsigs, toxicity
 from millrace.llm.common import read
 
 
@@ -16,6 +16,10 @@ def op1_spotsigs(spark, sf_dir):
     return spotsigs.fingerprints(read(spark, sf_dir, "documents"))
 
 
+def op2_secrets(spark, sf_dir):
+    return secrets.scan(read(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark, sf_dir):
     return toxicity.toxicity_scores(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -38,6 +42,7 @@ def op8_minhash(spark, sf_dir):
 
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
+    "op2_secrets": op2_secrets,
     "op3_toxicity": op3_toxicity,
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
