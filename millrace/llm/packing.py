@@ -4,7 +4,7 @@
    own; what remains is a length of 0 to window-1.
 2. The histogram of the remainders (at most `window` counts) goes to the driver, which
    enumerates pairs and triples of lengths that fill a window exactly, solves the repeat
-   counts by non-negative least squares against the histogram, and rounds them down.
+   counts by non-negative least squares against the histogram, and rounds them.
 3. A document's rank among those of its length says which combination takes it. The ranks
    no combination takes are laid end to end in order of length, cut at every window: the
    greedy pack of the residuals, which pads one sequence in all. Both are arithmetic on
@@ -31,32 +31,47 @@ from millrace.llm.common import materialise
 
 #: Rows of one length are ranked in so many salted parts, so that no length meets in one task.
 SALTS = 64
+#: Cut pieces of at most so many rows (32 bytes each) are broadcast to the texts; more are joined by shuffle.
+BROADCAST_ROWS = 200_000
 _CODERS: dict[str, Coder] = {}
 
 
-class Coder(dict):
-    """Pre-token -> its ids as little-endian unsigned 32-bit bytes; emptied when it grows past `most`."""
+class Coder:
+    """Texts to the ids of the byte-level BPE in a tokenizers file, as little-endian unsigned 32-bit bytes.
 
-    most = 400_000
+    The file's vocabulary is read as merge ranks for tiktoken, which gives the same ids some four
+    times as fast; a text that it refuses goes to the tokenizers library itself.
+    """
 
     def __init__(self, path: str, end: int):
-        import regex
+        import json
+
+        import tiktoken
         from public_tokenizers import PATTERN
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.split = regex.compile(PATTERN).findall
+        spec = json.loads(self.tokenizer.to_str())
+        special = {t["content"] for t in spec["added_tokens"]}
+        byte = _byte_of()
+        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+        self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.end = np.array([end], "<u4").tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= self.most:
-            self.clear()
-        out = self[word] = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        return out
-
     def encoded(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, self.split(text or ""))) + self.end
+        try:
+            ids = self.fast.encode_to_numpy(text or "", disallowed_special=())
+        except Exception:  # its regular expressions have a limit of depth
+            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return ids.astype("<u4").tobytes() + self.end
+
+
+def _byte_of() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable Latin-1 stands for itself, the others follow from U+0100."""
+    plain = [b for b in range(256) if chr(b).isprintable() and not chr(b).isspace()]
+    rest = (b for b in range(256) if b not in set(plain))
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 def coder(path: str, end: int) -> Coder:
@@ -79,49 +94,74 @@ class Plan:
     residual_start: np.ndarray  # by length, in ids of the residual stream
 
 
-def combinations(hist: np.ndarray, window: int, common: int = 96) -> list[tuple[int, ...]]:
-    """Pairs of any lengths and triples of which two are among the `common` most frequent, each filling the window."""
-    out = [(a, window - a) for a in range(1, window // 2 + 1) if hist[a] and hist[window - a]]
-    top = [int(x) for x in np.argsort(-hist, kind="stable")[:common] if hist[x] and x]
-    seen = set()
-    for i, a in enumerate(top):
-        for b in top[i:]:
-            c = window - a - b
-            if c > 0 and hist[c]:
-                seen.add(tuple(sorted((a, b, c))))
-    return out + sorted(seen)
-
-
-def solve(hist: np.ndarray, combos: list[tuple[int, ...]], sweeps: int = 60) -> np.ndarray:
-    """Repeat counts: cyclic coordinate descent for min |A x - hist|, x >= 0, then rounded down to what the histogram holds."""
-    cols = [np.unique(c, return_counts=True) for c in combos]
-    x = np.zeros(len(combos))
-    rest = hist.astype(float).copy()
-    for _ in range(sweeps):
-        moved = 0.0
-        for i, (at, n) in enumerate(cols):
-            step = float(rest[at] @ n) / float(n @ n)
-            new = max(0.0, x[i] + step)
-            if new != x[i]:
-                rest[at] -= n * (new - x[i])
-                moved = max(moved, abs(new - x[i]))
-                x[i] = new
-        if moved < 0.5:
-            break
-    out = np.zeros(len(combos), np.int64)
-    left = hist.astype(np.int64).copy()
-    for i in np.argsort(-x, kind="stable"):
-        at, n = cols[i]
-        out[i] = min(int(x[i]), int((left[at] // n).min()))
-        left[at] -= n * out[i]
+def combinations(hist: np.ndarray, window: int, each: int = 24) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs and triples of lengths that fill the window exactly.
+
+    All pairs; for every length, triples with up to `each` others, spread evenly over the documents'
+    lengths (so frequent lengths come more often). Triples are sorted, each given once.
+    """
+    low = np.flatnonzero(hist[: window // 2 + 1])
+    low = low[(low > 0) & (hist[window - np.maximum(low, 1)] > 0)]
+    pairs = np.stack([low, window - low], 1)
+    lengths = np.flatnonzero(hist)
+    lengths = lengths[lengths > 0]
+    if not len(lengths):
+        return pairs, np.zeros((0, 3), np.int64)
+    mass = np.cumsum(hist[lengths])
+    spread = lengths[np.searchsorted(mass, (np.arange(each) + 0.5) / each * mass[-1])]
+    # Another spread for each length, else all triples would share the same few partners.
+    a = np.repeat(lengths, each)
+    b = np.tile(spread, len(lengths)) + np.repeat(np.arange(len(lengths)) * 7 % 53 - 26, each)
+    c = window - a - b
+    ok = (b > 0) & (c > 0) & (hist[np.clip(b, 0, window - 1)] > 0) & (hist[np.clip(c, 0, window - 1)] > 0)
+    triples = np.unique(np.sort(np.stack([a, b, c], 1)[ok], 1), axis=0)
+    return pairs, triples.reshape(-1, 3)
+
+
+def solve(hist: np.ndarray, pairs: np.ndarray, triples: np.ndarray, rounds: int = 300) -> np.ndarray:
+    """Repeat counts of the combinations: non-negative least squares |A x - hist| by multiplicative updates, then rounded.
+
+    Rounding: the whole parts first, the largest first, then one more of each by falling fraction,
+    and last as many more as the histogram still holds; never more than it holds.
+    """
+    window, sizes = len(hist), [len(pairs), len(triples)]
+    x = np.ones(sum(sizes))
+    parts = [(pairs, slice(0, sizes[0])), (triples, slice(sizes[0], sum(sizes)))]
+
+    def times(x: np.ndarray) -> np.ndarray:
+        out = np.zeros(window)
+        for c, s in parts:
+            for k in range(c.shape[1]):
+                out += np.bincount(c[:, k], x[s], window)
+        return out
+
+    def back(v: np.ndarray) -> np.ndarray:
+        return np.concatenate([v[c].sum(1) if len(c) else np.zeros(0) for c, _ in parts])
+
+    want = back(hist.astype(float))
+    for _ in range(rounds):
+        x *= want / np.maximum(back(times(x)), 1e-9)
+    out = np.zeros(len(x), np.int64)
+    left = hist.astype(np.int64).tolist()
+    combos = [*map(tuple, pairs.tolist()), *map(tuple, triples.tolist())]
+    fraction = x - np.floor(x)
+    for wish, order in ((np.floor(x), -x), (np.ceil(x), -fraction), (np.full(len(x), np.inf), -x)):
+        for i in np.argsort(order, kind="stable"):
+            c = combos[i]
+            more = min(left[v] // c.count(v) for v in c)
+            more = int(min(more, wish[i] - out[i]))
+            if more > 0:
+                out[i] += more
+                for v in c:
+                    left[v] -= more
     return out
 
 
 def plan(hist: np.ndarray, window: int) -> Plan:
-    combos = combinations(hist, window)
-    counts = solve(hist, combos) if combos else np.zeros(0, np.int64)
+    pairs, triples = combinations(hist, window)
+    counts = solve(hist, pairs, triples)
     rows, taken, first = [], np.zeros(window, np.int64), 0
-    for c, n in zip(combos, counts, strict=True):
+    for c, n in zip([*pairs.tolist(), *triples.tolist()], counts, strict=True):
         if not n:
             continue
         at = 0
@@ -191,9 +231,11 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end: int = 1) -> DataFr
     for r in lens.groupBy(F.pmod("tokens", F.lit(window)).alias("rest")).count().collect():  # at most `window` rows
         hist[r["rest"]] = r["count"]
     full = lens.agg(F.coalesce(F.sum(F.size("crcs")), F.lit(0)).cast("long")).first()[0]
-    p = plan(hist, window)
+    # At most 3 * window * 24 slots.
+    held = lens.sparkSession.sparkContext.broadcast(plan(hist, window))
 
     def place(it):
+        p = held.value
         starts = np.searchsorted(p.length, np.arange(window + 1))
         for rb in it:
             rows = []
@@ -232,6 +274,8 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end: int = 1) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["d", "k", "s", "l", "crc"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("t"), F.col("text").cast("string").alias("text"))
+    if cut.count() <= BROADCAST_ROWS:
+        cut = F.broadcast(cut)
     crcs = cut.join(texts, F.col("doc_id").eqNullSafe(F.col("t"))).select("doc_id", "text_key", "start", "length", "text")
     crcs = crcs.mapInArrow(again, "d long, k long, s long, l long, crc long").dropDuplicates(["d", "k", "s", "l"])
     known = pieces.filter("ids_crc32 is not null")
