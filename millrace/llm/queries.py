@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import line_dedup, minhash, packing, quality, secrets, spotsigs, toxicity
+from millrace.llm import htmltext, line_dedup, minhash, packing, pq, quality, secrets, spotsigs, toxicity
 from millrace.llm.common import read
 
 
@@ -40,6 +40,14 @@ def op8_minhash(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
 
+def op9_html(spark, sf_dir):
+    return htmltext.extract(read(spark, sf_dir, "pages"))
+
+
+def op10_pq(spark, sf_dir):
+    return pq.near_vectors(read(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 QUERIES = {
     "op1_spotsigs": op1_spotsigs,
     "op2_secrets": op2_secrets,
@@ -48,9 +56,22 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
     "op8_minhash": op8_minhash,
+    "op9_html": op9_html,
+    "op10_pq": op10_pq,
 }
 
 ORACLES = {
+    "op10_pq": """
+        WITH RECURSIVE v AS (
+          SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+          WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.9),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT e.vec_id, (SELECT count(*) FROM links WHERE a = e.vec_id)::BIGINT AS n_links,
+               least(e.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id)) AS component_id,
+               least(e.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id)) = e.vec_id AS kept
+        FROM embeddings e""",
     "op6_line_dedup": r"""
         WITH lines AS (
           SELECT doc_id, i, line,
