@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from millrace.llm import htmltext, line_dedup, minhash, packing, pq, quality, secrets, spotsigs, toxicity
+from dataclasses import replace
+
+from millrace.llm import htmltext, line_dedup, minhash, mixing, packing, pq, quality, secrets, spotsigs, toxicity
 from millrace.llm.common import read
 
 
@@ -36,6 +38,10 @@ def op6_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(read(spark, sf_dir, "documents"), threshold=10)
 
 
+def op7_mixing(spark, sf_dir):
+    return mixing.mix_report(read(spark, sf_dir, "documents"), replace(mixing.PRODUCTION, epochs=2))
+
+
 def op8_minhash(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"), k=3, num=85, den=100)
 
@@ -55,6 +61,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_quality": op5_quality,
     "op6_line_dedup": op6_line_dedup,
+    "op7_mixing": op7_mixing,
     "op8_minhash": op8_minhash,
     "op9_html": op9_html,
     "op10_pq": op10_pq,
