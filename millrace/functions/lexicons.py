@@ -83,7 +83,10 @@ RICHNESS_STOP_WORDS = (
     "the and that have for not with you this but his from they were been their would there which could other into more about through between because something everything anything "
     "nothing however although therefore whatever"
 ).split()
-CLAUSE_MARKERS = r"\b(which|whom|whose|where|when|while|although|though|because|since|unless|until|whereas|whereby|wherein|whereupon)\b"
+CLAUSE_MARKERS = "which whom whose where when while although though because since unless until whereas whereby wherein whereupon".split()
+FIRST_SINGULAR = "i me my mine myself".split()
+FIRST_PLURAL = "we us our ours ourselves".split()
+THIRD = "he she it they him her them his hers its their".split()
 DARK_WORDS = (
     "eldritch cyclopean non-euclidean blasphemous nameless unnameable gibbous squamous rugose foetid antediluvian charnel daemon daemonic accursed hellish loathsome hideous abhorrent "
     "grotesque monstrous abysmal stygian phantasmal spectral preternatural abnormal unnatural indescribable unutterable ineffable cosmic immemorial aeons eons primordial prehistoric "

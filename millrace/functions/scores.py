@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import lexicons as L
-from millrace.functions.text import _c, sentence_lengths, sentences, strip, word_count, words
+from millrace.functions.text import _c, let, sentence_lengths, sentences, strip, word_count, word_tokens, words
 
 
 def hits(x: Column, keywords: list[str]) -> Column:
@@ -50,8 +50,7 @@ def special_chars(x: Column | str) -> Column:
 
 def word_repetition(x: Column | str) -> Column:
     """one less the share of distinct words; 0 under ten words."""
-    w = words(F.lower(_c(x)))
-    return F.when(F.size(w) < 10, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(w)) / F.size(w))
+    return let(words(F.lower(_c(x))), lambda w: F.when(F.size(w) < 10, F.lit(0.0)).otherwise(1 - F.size(F.array_distinct(w)) / F.size(w)))
 
 
 def top_frequency(x: Column | str) -> Column:
@@ -77,24 +76,27 @@ def _artifacts(x: Column) -> Column:
 def curation_reason(x: Column | str, min_words: int = 40) -> Column:
     """the first rule that the paragraph breaks, or ok."""
     x = _c(x)
-    n, parts, top = word_count(x), _parts(x), top_frequency(x)
-    complete = F.size(F.filter(parts, lambda s: word_count(s) >= 3))
-    fragments = F.size(F.filter(parts, lambda s: (word_count(s) > 0) & (word_count(s) < 3)))
+    n = word_count(x)
+    sizes = F.transform(_parts(x), word_count)
+    few = F.size(F.filter(sizes, lambda k: k >= 3)) < 2
+    broken = let(sizes, lambda ks: F.size(F.filter(ks, lambda k: (k > 0) & (k < 3))) > F.size(ks) * 0.5)
+    repeated = let(top_frequency(x), lambda top: (top > n * 0.15) & (top > 5))
     return (
         F.when(n < min_words, "too short").when(_artifacts(x), "encoding artifacts").when(special_ratio(x, r"a-zA-Z0-9\s.,!?;:'\"()-") > 0.1, "too many special chars")
-        .when(complete < 2, "too few complete sentences").when(fragments > F.size(parts) * 0.5, "too many fragments")
-        .when((top > n * 0.15) & (top > 5), "excessive repetition").otherwise("ok")
+        .when(few, "too few complete sentences").when(broken, "too many fragments")
+        .when(repeated, "excessive repetition").otherwise("ok")
     )
 
 
 def load_reason(x: Column | str, min_words: int = 30) -> Column:
     """as F9, with stable codes and without the fragment rule."""
     x = _c(x)
-    n, top = word_count(x), top_frequency(x)
+    n = word_count(x)
+    repeated = let(top_frequency(x), lambda top: (top > n * 0.15) & (top > 5))
     complete = F.size(F.filter(_parts(x), lambda s: word_count(s) >= 3))
     return (
         F.when(n < min_words, "too_short").when(_artifacts(x), "encoding_artifacts").when(special_ratio(x, "a-zA-Z0-9\\s.,!?;:'\"()\\-—–") > 0.1, "special_chars")
-        .when(complete < 1, "incomplete").when((top > n * 0.15) & (top > 5), "repetitive").otherwise("ok")
+        .when(complete < 1, "incomplete").when(repeated, "repetitive").otherwise("ok")
     )
 
 
@@ -109,8 +111,8 @@ def config_reason(x: Column | str, min_words: int = 40, max_words: int = 500, mi
 
 def overlap(a: Column | str, b: Column | str) -> Column:
     """Shared distinct lower-case words over a's."""
-    wa, wb = F.array_distinct(words(F.lower(_c(a)))), F.array_distinct(words(F.lower(_c(b))))
-    return F.when(F.size(wa) > 0, F.size(F.array_intersect(wa, wb)) / F.size(wa)).otherwise(F.lit(0.0))
+    wb = words(F.lower(_c(b)))
+    return let(F.array_distinct(words(F.lower(_c(a)))), lambda wa: F.when(F.size(wa) > 0, F.size(F.array_intersect(wa, wb)) / F.size(wa)).otherwise(F.lit(0.0)))
 
 
 def good_variation(original: Column | str, varied: Column | str) -> Column:
@@ -128,8 +130,8 @@ def good_perspective(original: Column | str, varied: Column | str) -> Column:
 def lexical_bleed(neutral: Column | str, styled: Column | str) -> Column:
     """share of styled's distinctive words that neutral has; 0 if it has none."""
     common = F.array(*[F.lit(w) for w in L.COMMON_WORDS])
-    own = F.array_except(words(F.lower(_c(styled))), common)
-    return F.when(F.size(own) > 0, F.size(F.array_intersect(own, words(F.lower(_c(neutral))))) / F.size(own)).otherwise(F.lit(0.0))
+    given = words(F.lower(_c(neutral)))
+    return let(F.array_except(words(F.lower(_c(styled))), common), lambda own: F.when(F.size(own) > 0, F.size(F.array_intersect(own, given)) / F.size(own)).otherwise(F.lit(0.0)))
 
 
 def mean(xs: Column) -> Column:
@@ -138,22 +140,25 @@ def mean(xs: Column) -> Column:
 
 def deviation(xs: Column) -> Column:
     """Population standard deviation of a non-empty array."""
-    m = mean(xs)
-    return F.sqrt(F.aggregate(xs, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / F.size(xs))
+    return let(mean(xs), lambda m: F.sqrt(F.aggregate(xs, F.lit(0.0), lambda a, x: a + (x - m) * (x - m)) / F.size(xs)))
 
 
 def burstiness(x: Column | str) -> Column:
     """Standard deviation over mean of sentence lengths; 0 under two sentences."""
-    n = sentence_lengths(x)
-    return F.when(F.size(n) >= 2, deviation(n) / mean(n)).otherwise(F.lit(0.0))
+    return let(sentence_lengths(x), lambda n: F.when(F.size(n) >= 2, deviation(n) / mean(n)).otherwise(F.lit(0.0)))
 
 
 def _style(x: Column, with_connectives: bool) -> Column:
-    n = sentence_lengths(x)
-    length = F.when(mean(n) < 12, "Short & Punchy").when(mean(n) > 25, "Long & Flowing").when(deviation(n) > 8, "Varied Lengths").otherwise("Medium Length")
     hard = any_of(x, L.COMPLEX_MARKS)
-    syntax = F.when(hard & any_of(F.lower(x), L.CONNECTIVES), "Baroque Syntax").when(hard, "Complex Syntax").otherwise("Simple Syntax") if with_connectives else F.when(hard, "Complex Syntax").otherwise("Simple Syntax")
-    return F.when(F.size(n) == 0, "[STYLE: Medium Length | Simple Syntax]").otherwise(F.concat(F.lit("[STYLE: "), length, F.lit(" | "), syntax, F.lit("]")))
+    syntax = F.when(hard, "Complex Syntax").otherwise("Simple Syntax")
+    if with_connectives:
+        syntax = F.when(hard & any_of(F.lower(x), L.CONNECTIVES), "Baroque Syntax").otherwise(syntax)
+
+    def tag(n: Column) -> Column:
+        length = let(mean(n), lambda m: F.when(m < 12, "Short & Punchy").when(m > 25, "Long & Flowing").when(deviation(n) > 8, "Varied Lengths").otherwise("Medium Length"))
+        return F.when(F.size(n) == 0, "[STYLE: Medium Length | Simple Syntax]").otherwise(F.concat(F.lit("[STYLE: "), length, F.lit(" | "), syntax, F.lit("]")))
+
+    return let(sentence_lengths(x), tag)
 
 
 def style_tag(x: Column | str) -> Column:
@@ -168,21 +173,27 @@ def simple_style_tag(x: Column | str) -> Column:
 
 def vocabulary_richness(x: Column | str) -> Column:
     """A34."""
-    w = F.regexp_extract_all(F.lower(_c(x)), F.lit(r"\b[a-zA-Z]+\b"), F.lit(0))
-    own = F.array_distinct(w)
-    rare = F.filter(own, lambda s: (F.length(s) > 8) & ~s.isin(*L.RICHNESS_STOP_WORDS))
-    score = F.size(own) / F.size(w) * 0.6 + F.size(rare) / F.greatest(F.size(own), F.lit(1)) * 0.4 + 0.2
-    return F.when(F.size(w) < 10, F.lit(0.0)).otherwise(F.least(F.lit(1.0), score))
+
+    def score(w: Column) -> Column:
+        rare = lambda own: F.size(F.filter(own, lambda s: (F.length(s) > 8) & ~s.isin(*L.RICHNESS_STOP_WORDS)))
+        own = let(F.array_distinct(w), lambda o: F.size(o) / F.size(w) * 0.6 + rare(o) / F.greatest(F.size(o), F.lit(1)) * 0.4 + 0.2)
+        return F.when(F.size(w) < 10, F.lit(0.0)).otherwise(F.least(F.lit(1.0), own))
+
+    return let(F.filter(word_tokens(x), lambda s: s.rlike("^[a-z]+$")), score)
 
 
 def syntax_complexity(x: Column | str) -> Column:
     """A35."""
     x = _c(x)
-    n = F.transform(F.filter(F.split(x, "[.!?]+"), lambda s: strip(s) != ""), word_count)
-    spread = F.when(F.size(n) < 2, F.lit(0.3)).otherwise(F.least(F.lit(1.0), deviation(n) / 20))
+    lengths = F.transform(F.filter(F.split(x, "[.!?]+"), lambda s: strip(s) != ""), word_count)
     marks = F.least(F.lit(1.0), F.regexp_count(x, F.lit("[;:—–()]")) / 10)
-    clauses = F.least(F.lit(1.0), F.regexp_count(F.lower(x), F.lit(L.CLAUSE_MARKERS)) / 5)
-    return F.when(F.size(n) == 0, F.lit(0.0)).otherwise(spread * 0.3 + marks * 0.3 + clauses * 0.4)
+    clauses = F.least(F.lit(1.0), F.size(F.filter(word_tokens(x), lambda w: w.isin(*L.CLAUSE_MARKERS))) / 5)
+
+    def score(n: Column) -> Column:
+        spread = F.when(F.size(n) < 2, F.lit(0.3)).otherwise(F.least(F.lit(1.0), deviation(n) / 20))
+        return F.when(F.size(n) == 0, F.lit(0.0)).otherwise(spread * 0.3 + marks * 0.3 + clauses * 0.4)
+
+    return let(lengths, score)
 
 
 def style_markers(x: Column | str) -> Column:
@@ -191,7 +202,7 @@ def style_markers(x: Column | str) -> Column:
     low = F.lower(x)
     found = F.least(F.lit(1.0), hits(low, L.DARK_WORDS) / 5)
     phrases = F.least(F.lit(1.0), sum((low.rlike(p).cast("int") for p in L.DARK_PATTERNS), F.lit(0)) / 3)
-    own = F.regexp_count(x, F.lit(r"\b(I|my|me|myself)\b"))
+    own = F.size(F.filter(F.regexp_extract_all(x, F.lit(r"[\p{L}\p{N}_]+"), F.lit(0)), lambda w: w.isin("I", "my", "me", "myself")))
     first = F.when(own > 0, F.least(F.lit(1.0), own / 10)).otherwise(F.lit(0.3))
     loud = F.least(F.lit(1.0), F.regexp_count(x, F.lit(r"!|—|\.{3}")) / 5)
     return found * 0.4 + phrases * 0.3 + first * 0.15 + loud * 0.15
@@ -209,17 +220,20 @@ def length_band(n: Column) -> Column:
 
 def rhythm(x: Column | str) -> Column:
     """A struct of sentence count, bands, variance, mean length, punctuation a word and fragment share."""
-    n = sentence_lengths(x)
-    bands = F.transform(n, length_band)
-    some = F.size(n) > 0
-    return F.struct(
-        F.size(n).alias("sentence_count"),
-        bands.alias("length_sequence"),
-        F.when(some, deviation(n) * deviation(n)).otherwise(F.lit(0.0)).alias("length_variance"),
-        F.when(some, mean(n)).otherwise(F.lit(0.0)).alias("avg_length"),
-        (F.regexp_count(_c(x), F.lit("[,;:—–-]")) / F.greatest(word_count(x), F.lit(1))).alias("punctuation_density"),
-        F.when(some, F.size(F.filter(bands, lambda b: b == "FRAGMENT")) / F.size(n)).otherwise(F.lit(0.0)).alias("fragment_ratio"),
-    )
+    dense = F.regexp_count(_c(x), F.lit("[,;:—–-]")) / F.greatest(word_count(x), F.lit(1))
+
+    def of(n: Column) -> Column:
+        some = F.size(n) > 0
+        return F.struct(
+            F.size(n).alias("sentence_count"),
+            F.transform(n, length_band).alias("length_sequence"),
+            F.when(some, let(deviation(n), lambda d: d * d)).otherwise(F.lit(0.0)).alias("length_variance"),
+            F.when(some, mean(n)).otherwise(F.lit(0.0)).alias("avg_length"),
+            dense.alias("punctuation_density"),
+            F.when(some, F.size(F.filter(n, lambda k: k.between(1, 4))) / F.size(n)).otherwise(F.lit(0.0)).alias("fragment_ratio"),
+        )
+
+    return let(sentence_lengths(x), of)
 
 
 def rhythm_string(bands: Column) -> Column:
@@ -261,11 +275,13 @@ def skeleton(x: Column | str) -> Column:
 
 def perspective(x: Column | str) -> Column:
     """The most frequent of three kinds of pronouns; ties are third person."""
-    low = F.lower(_c(x))
-    one = F.regexp_count(low, F.lit(r"\b(i|me|my|mine|myself)\b"))
-    many = F.regexp_count(low, F.lit(r"\b(we|us|our|ours|ourselves)\b"))
-    third = F.regexp_count(low, F.lit(r"\b(he|she|it|they|him|her|them|his|hers|its|their)\b"))
-    return F.when((one > many) & (one > third), "first_person_singular").when((many > one) & (many > third), "first_person_plural").otherwise("third_person")
+    count = lambda w, words_: F.size(F.filter(w, lambda s: s.isin(*words_)))
+
+    def pick(k: Column) -> Column:
+        return F.when((k["a"] > k["b"]) & (k["a"] > k["c"]), "first_person_singular").when((k["b"] > k["a"]) & (k["b"] > k["c"]), "first_person_plural").otherwise("third_person")
+
+    counts = let(word_tokens(x), lambda w: F.struct(count(w, L.FIRST_SINGULAR).alias("a"), count(w, L.FIRST_PLURAL).alias("b"), count(w, L.THIRD).alias("c")))
+    return let(counts, pick)
 
 
 def content_type(x: Column | str, narrative_default: bool = True, entities: Column | None = None, past: Column | None = None, present: Column | None = None) -> Column:
@@ -285,24 +301,30 @@ def content_type(x: Column | str, narrative_default: bool = True, entities: Colu
 def heading(x: Column | str) -> Column:
     """X26."""
     line = strip(x)
-    w = words(line)
     letters = F.regexp_replace(line, r"[^\p{L}]", "")
     upper = F.length(F.regexp_replace(letters, r"[^\p{Lu}]", ""))
     edge = ".,;:!?\"'()-—?"
-    bare = F.filter(F.transform(F.slice(w, 2, 100000), lambda s: F.btrim(s, F.lit(edge))), lambda s: (s != "") & ~F.lower(s).isin(*L.TITLE_SMALL_WORDS) & ~(s.rlike(r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$") & (F.length(s) <= 4)))
-    n, caps = F.size(bare), F.size(F.filter(bare, lambda s: s.rlike(r"^\p{Lu}")))
-    title = (n >= 2) & (caps >= n * 0.5) | (F.size(w) <= 6) & (caps >= 1) & ((n <= 1) | (caps == n))
-    one = (F.size(w) == 1) & F.btrim(w[0], F.lit(edge)).rlike(r"^\p{Lu}")
+    small = lambda s: F.lower(s).isin(*L.TITLE_SMALL_WORDS) | (s.rlike(r"^[^\p{Ll}]*\p{Lu}[^\p{Ll}]*$") & (F.length(s) <= 4))
+
+    def title(w: Column) -> Column:
+        rest = F.filter(F.transform(F.slice(w, F.lit(2), F.greatest(F.size(w), F.lit(1))), lambda s: F.btrim(s, F.lit(edge))), lambda s: (s != "") & ~small(s))
+        caps = lambda r: F.size(F.filter(r, lambda s: s.rlike(r"^\p{Lu}")))
+        many = let(F.struct(F.size(rest).alias("n"), caps(rest).alias("c")), lambda k: ((k["n"] >= 2) & (k["c"] >= k["n"] * 0.5)) | ((F.size(w) <= 6) & (k["c"] >= 1) & ((k["n"] <= 1) | (k["c"] == k["n"]))))
+        return F.when((F.size(w) == 1) & F.btrim(w[0], F.lit(edge)).rlike(r"^\p{Lu}"), True).otherwise((F.size(w) >= 2) & many)
+
     return (
         F.when(line == "", False).when(line.startswith("#"), True).when((F.length(letters) > 0) & (upper > F.length(letters) * 0.8), True).when(line.rlike(r"[.!]$"), False)
-        .when(one, True).otherwise((F.size(w) >= 2) & title)
+        .otherwise(let(words(line), title))
     )
 
 
 def output_statistics(x: Column | str) -> Column:
     """Words, sentences, mean, deviation, least and most sentence length, machine transitions, dashes, semicolons."""
-    n, low = sentence_lengths(x), F.lower(_c(x))
-    some = F.size(n) > 0
+    low = F.lower(_c(x))
+    return let(sentence_lengths(x), lambda n: _statistics(_c(x), low, n, F.size(n) > 0))
+
+
+def _statistics(x: Column, low: Column, n: Column, some: Column) -> Column:
     return F.struct(
         word_count(x).alias("words"), F.size(n).alias("sentences"), F.when(some, mean(n)).otherwise(F.lit(0.0)).alias("avg"), F.when(some, deviation(n)).otherwise(F.lit(0.0)).alias("std"),
         F.coalesce(F.array_min(n), F.lit(0)).alias("shortest"), F.coalesce(F.array_max(n), F.lit(0)).alias("longest"), hits(low, L.MACHINE_TRANSITIONS).alias("transitions"),
@@ -312,9 +334,11 @@ def output_statistics(x: Column | str) -> Column:
 
 def style_metrics(x: Column | str) -> Column:
     """The lexical five of seven metrics; depth and adjective ratio need a tagger and are 0 without one."""
-    n, w = sentence_lengths(x), words(x)
-    some = (F.size(n) > 0) & (F.size(w) > 0)
-    zero = F.lit(0.0)
+    return let(F.struct(sentence_lengths(x).alias("n"), words(x).alias("w")), lambda s: _metrics(_c(x), s["n"], s["w"]))
+
+
+def _metrics(x: Column, n: Column, w: Column) -> Column:
+    some, zero = (F.size(n) > 0) & (F.size(w) > 0), F.lit(0.0)
     return F.struct(
         F.when(some, mean(n)).otherwise(zero).alias("avg_sentence_length"), F.when(some, deviation(n)).otherwise(zero).alias("sentence_length_std"), zero.alias("avg_dependency_depth"),
         zero.alias("adj_verb_ratio"), F.when(some, F.regexp_count(_c(x), F.lit("[^\\w\\s]")) * 100 / F.size(w)).otherwise(zero).alias("punctuation_density"),

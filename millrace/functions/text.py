@@ -13,6 +13,11 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def let(x: Column, f) -> Column:
+    """f(x) with x computed once a row, however often f names it: a lambda's variable holds its value."""
+    return F.transform(F.array(x), f)[0]
+
+
 def strip(x: Column | str) -> Column:
     """Without white space at both ends."""
     return F.btrim(_c(x), F.lit(BLANKS))
@@ -28,6 +33,11 @@ def word_count(x: Column | str) -> Column:
     return F.regexp_count(F.coalesce(_c(x), F.lit("")), F.lit(r"\S+"))
 
 
+def word_tokens(x: Column | str) -> Column:
+    """Runs of letters, digits and underscores of any script, in lower case: what stands between word boundaries."""
+    return F.regexp_extract_all(F.lower(_c(x)), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
+
+
 def lower_words(x: Column | str) -> Column:
     return words(F.lower(_c(x)))
 

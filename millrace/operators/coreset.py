@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import lexicons as L
+from millrace.functions.text import word_tokens
 from millrace.functions.vectors import cosine, cosine_distance_unit, euclidean
 from millrace.operators.joins import centroid
 from millrace.operators.ranks import global_rank, hash_order
@@ -64,7 +65,7 @@ def k_center(df: DataFrame, key: str, vec: str, k: int, metric: str = "cosine",
 
 def content_signature(x: Column | str) -> Column:
     """Of the words of five letters or more that aren't stop words, the five most frequent, ties by word, sorted."""
-    w = F.filter(F.regexp_extract_all(F.lower(F.col(x) if isinstance(x, str) else x), F.lit(r"\b[a-zA-Z]{5,}\b"), F.lit(0)), lambda s: ~s.isin(*L.CLUSTER_STOP_WORDS))
+    w = F.filter(word_tokens(x), lambda s: s.rlike("^[a-z]{5,}$") & ~s.isin(*L.CLUSTER_STOP_WORDS))
     ordered = F.array_sort(w)
     start = F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.expr("cast(array() as array<struct<n:int,w:string>>)").alias("out"))
 
@@ -100,7 +101,7 @@ def kmeans_budget(df: DataFrame, key: str, vec: str, words: str, target: int, sl
     have = chosen.agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
     if have >= 0.9 * target:
         return chosen
-    rest = global_rank(data.join(chosen.select(key), key, "left_anti"), [F.desc(words), key], "_rank", F.col(words), "_before")
+    rest = global_rank(data.join(chosen.select(key), key, "left_anti"), [-F.col(words), key], "_rank", F.col(words), "_before")
     fill = rest.filter(F.col("_before") + F.col(words) <= target - have).drop("_rank", "_before")
     return chosen.unionByName(fill)
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions.scores import mean
-from millrace.functions.text import _c, same_stem, sentences, word_count
+from millrace.functions.text import _c, let, same_stem, sentences, word_count
 from millrace.functions.vectors import cosine
 from millrace.operators.records import content_words
 
@@ -81,30 +81,33 @@ def grounding(source: Column | str, output: Column | str, threshold: float = 0.4
 
     Sentences of both sides are local to the row, so they meet in the row.
     """
-    src = F.transform(sentences(source), lambda s: F.array_distinct(content_words(s)))
-    every = F.array_distinct(F.flatten(src))
 
-    def check(s: Column) -> Column:
-        own = F.array_distinct(content_words(s))
-        scores = F.transform(src, lambda w: f1(own, w))
-        best = F.coalesce(F.array_max(scores), F.lit(0.0))
-        free = (word_count(s) < 4) | (F.size(own) == 0)
-        novel = F.when(F.size(own) > 0, F.size(F.array_except(own, every)) / F.size(own)).otherwise(F.lit(0.0))
-        return F.struct(
-            s.alias("sentence"),
-            F.when(~free & (best > 0), F.array_position(scores, best).cast("int") - 1).alias("match"),
-            F.when(free, F.lit(1.0)).otherwise(best).alias("score"),
-            (free | (best >= threshold) | (novel < 0.3)).alias("grounded"),
-            (~free & (best < 0.15) & (novel > 0.5) & (word_count(s) > 8)).alias("hallucinated"),
-        )
+    def check(s: Column, own: Column, src: Column, every: Column) -> Column:
+        def of(scores: Column) -> Column:
+            best = F.coalesce(F.array_max(scores), F.lit(0.0))
+            free = (word_count(s) < 4) | (F.size(own) == 0)
+            novel = F.when(F.size(own) > 0, F.size(F.array_except(own, every)) / F.size(own)).otherwise(F.lit(0.0))
+            return F.struct(
+                s.alias("sentence"),
+                F.when(~free & (best > 0), F.array_position(scores, best).cast("int") - 1).alias("match"),
+                F.when(free, F.lit(1.0)).otherwise(best).alias("score"),
+                (free | (best >= threshold) | (novel < 0.3)).alias("grounded"),
+                (~free & (best < 0.15) & (novel > 0.5) & (word_count(s) > 8)).alias("hallucinated"),
+            )
+
+        return let(F.transform(src, lambda w: f1(own, w)), of)
 
-    return F.transform(sentences(output), check)
+    def against(k: Column) -> Column:
+        return F.transform(sentences(output), lambda s: let(F.array_distinct(content_words(s)), lambda own: check(s, own, k["src"], k["every"])))
+
+    src = F.transform(sentences(source), lambda s: F.array_distinct(content_words(s)))
+    return let(let(src, lambda x: F.struct(x.alias("src"), F.array_distinct(F.flatten(x)).alias("every"))), against)
 
 
 def content_coverage(source: Column | str, output: Column | str) -> Column:
     """Share of the source's content words that the output has; 1 if there are none."""
-    a, b = F.array_distinct(content_words(source)), F.array_distinct(content_words(output))
-    return F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(F.lit(1.0))
+    b = content_words(output)
+    return let(F.array_distinct(content_words(source)), lambda a: F.when(F.size(a) > 0, F.size(F.array_intersect(a, b)) / F.size(a)).otherwise(F.lit(1.0)))
 
 
 def missing_content(source: Column | str, output: Column | str) -> Column:

@@ -15,8 +15,8 @@ def hash_order(key: Column | str, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")).cast("binary"))
 
 
-def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank", amount: Column | None = None, total: str | None = None, salted: bool = True) -> DataFrame:
-    """df with `name`: the row's place in order, from 0; with amount, `total`: the sum of amount over rows before it.
+def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank", amount: Column | None = None, total: str | None = None) -> DataFrame:
+    """df with `name`: the row's place in (ascending) order, from 0; with amount, `total`: the sum of amount over rows before it.
 
     Rows are range-partitioned by order, ranked inside their partition, and shifted by the partitions'
     sums, of which there is one row a partition. The range partitions are fixed by a write to the shared

@@ -114,5 +114,5 @@ def diverse_select(df: DataFrame, cluster: str, quality: str, tokens: str, key:
     """
     w = Window.partitionBy(cluster).orderBy(F.desc(quality), key)
     ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).withColumn("_late", (F.col("_rn") > per_cluster).cast("int"))
-    out = global_rank(ranked, ["_late", F.desc(quality), key], "_rank", F.col(tokens), "_before")
+    out = global_rank(ranked, ["_late", -F.col(quality), key], "_rank", F.col(tokens), "_before")
     return out.filter(F.col("_before") + F.col(tokens) <= target * slack).drop("_rn", "_late", "_rank", "_before")

@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from millrace.plans import records, style  # noqa: F401  registers its queries
+
+QUERIES: dict = {**records.QUERIES}
+ORACLES: dict = {**records.ORACLES}
