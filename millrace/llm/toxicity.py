@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 
 from millrace.llm.scoring import scored, training_rows
 
-BITS = 24
+BITS = 22
 PREFIXES = (3, 4, 5, 6)
 _WORD = re.compile(r"\w+").findall
 
