@@ -20,7 +20,7 @@ def parse_timestamp(x: Column) -> Column:
 def gap_sessions(df: DataFrame, within: Sequence[str], ts: str, order: Sequence[str], hours: float = 4) -> DataFrame:
     """With `session`, from 0: a new one after a gap of more than `hours`. A null time never splits, nor does the row after it."""
     w = Window.partitionBy(*within).orderBy(*order)
-    gap = F.unix_micros(ts) - F.unix_micros(F.lag(ts).over(w))
+    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lag(F.col(ts).cast("timestamp")).over(w))
     new = F.coalesce((gap > int(hours * 3_600_000_000)).cast("int"), F.lit(0))
     return df.withColumn("_new", new).withColumn("session", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
 
