@@ -5,7 +5,7 @@ Weights go down a tree of domain, language and source. A node that has fewer tok
 them cannot take goes to the level above. Each leaf then reads whole epochs of its documents and,
 of one more, seeded, epoch, the shortest prefix that reaches its quota.
 
-Prefixes are found without sorting a leaf: its documents' order hashes are counted in 4096
+Prefixes are found without sorting a leaf: its documents' order hashes are counted in 1024
 intervals, the interval where the quota falls is ranked by itself, and the result is one cutoff
 hash a leaf. The texts themselves are only filtered, never shuffled.
 
@@ -28,7 +28,7 @@ from pyspark.sql.window import Window
 from millrace.llm.common import materialise
 
 #: Intervals of the order hash, as bits.
-BITS = 12
+BITS = 10
 
 
 @dataclass(frozen=True)
