@@ -288,7 +288,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, k: int, num: int, den:
 
 
 def near_duplicates(
-    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, side: int = 6, half: int = 3, loose: float | None = None, block: int = 4000
+    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, side: int = 6, half: int = 3, loose: float | None = None, block: int = 1000
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; links are den*|A&B| >= num*|A|B|."""
     threshold = num / den
