@@ -14,6 +14,10 @@ from millrace.functions.vectors import cosine
 from millrace.operators.records import content_words
 
 
+#: Query vectors of at most so many rows are broadcast to the items.
+QUERY_ROWS = 20_000
+
+
 def leaked(train: DataFrame, val: DataFrame, key: str) -> DataFrame:
     """The keys that stand in both."""
     return train.select(key).intersect(val.select(key))
@@ -43,14 +47,21 @@ def interval_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], l_s
 
 
 def vector_top(queries: DataFrame, items: DataFrame, q_vec: str, i_vec: str, q_id: str, i_id: str, k: int, least: float = 0.15) -> DataFrame:
-    """Of each query the k items of highest cosine, ties to the smaller id. The query set is stated, and meets the items in blocks.
+    """Of each query the k items of highest cosine, ties to the smaller id.
 
-    Queries are packed into arrays of 64, so an item row meets a block, not a query; each task keeps k an item block and query
-    before the ranks are merged.
+    The query set is stated, and meets the items in blocks of 64 queries. Up to QUERY_ROWS queries the blocks are
+    broadcast; more are joined by shuffle, every item going to each block. Of each item partition and query only what passes
+    `least` is ranked.
     """
-    packed = queries.select(F.col(q_id), F.col(q_vec).alias("_q")).withColumn("_b", F.pmod(F.xxhash64(q_id), F.lit(16)))
+    n = queries.count()
+    blocks = max(1, -(-n // 64))
+    packed = queries.select(F.col(q_id), F.col(q_vec).alias("_q")).withColumn("_b", F.pmod(F.xxhash64(q_id), F.lit(blocks)))
     packed = packed.groupBy("_b").agg(F.collect_list(F.struct(F.col(q_id).alias("q"), "_q")).alias("_qs"))
-    scored = items.select(F.col(i_id).alias("i"), F.col(i_vec).alias("_i")).crossJoin(F.broadcast(packed))
+    own = items.select(F.col(i_id).alias("i"), F.col(i_vec).alias("_i"))
+    if n <= QUERY_ROWS:
+        scored = own.crossJoin(F.broadcast(packed))
+    else:
+        scored = own.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(packed, "_b")
     hits = F.filter(F.transform("_qs", lambda s: F.struct(s["q"].alias("q"), cosine(s["_q"], F.col("_i")).alias("similarity"))), lambda s: s["similarity"] >= least)
     rows = scored.select("i", F.explode(hits).alias("h")).select(F.col("h.q").alias(q_id), F.col("i").alias(i_id + "_match"), F.col("h.similarity").alias("similarity"))
     w = Window.partitionBy(q_id).orderBy(F.desc("similarity"), i_id + "_match")

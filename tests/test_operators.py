@@ -210,7 +210,9 @@ def test_blend_and_kmeans(spark):
     assert coreset.kmeans_budget(df, "k", "v", "words", 200).count() >= 15
 
 
-def test_vector_top_ties(spark):
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_vector_top_ties(spark, most, monkeypatch):
+    monkeypatch.setattr(joins, "QUERY_ROWS", most)
     q = spark.createDataFrame([(1, [1.0, 0.0])], "id int, v array<double>")
     items = spark.createDataFrame([(5, [1.0, 0.0]), (3, [2.0, 0.0]), (4, [0.0, 1.0])], "id int, v array<double>")
     got = joins.vector_top(q, items, "v", "v", "id", "id", 2).collect()
