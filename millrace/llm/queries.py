@@ -79,6 +79,19 @@ ORACLES = {
                least(e.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id)) AS component_id,
                least(e.vec_id, coalesce((SELECT min(b) FROM reach WHERE a = e.vec_id), e.vec_id)) = e.vec_id AS kept
         FROM embeddings e""",
+    "op8_minhash": r"""
+        WITH RECURSIVE t AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) >= 3 THEN list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))
+                                  WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE []::VARCHAR[] END AS s FROM t),
+        x AS (SELECT doc_id, unnest(s) AS g FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b WHERE 100 * k >= 85 * (len(sa.s) + len(sb.s) - k)),
+        links AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, k.b FROM reach r JOIN links k ON r.b = k.a),
+        low AS (SELECT a, min(b) AS m FROM reach GROUP BY 1)
+        SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) AS component_id, least(s.doc_id, coalesce(m, s.doc_id)) = s.doc_id AS kept
+        FROM s LEFT JOIN low ON low.a = s.doc_id""",
     "op6_line_dedup": r"""
         WITH lines AS (
           SELECT doc_id, i, line,
