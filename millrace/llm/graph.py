@@ -37,8 +37,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
             pairs.select(F.col("lo").alias("u"), F.col("hi").alias("v"))
         )
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # Written first, so that both sides of the join are plain shuffles, which Spark can split at a hub.
+        least = materialise(least, "least")
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
-        down = large.groupBy("hi").agg(F.min("lo").alias("m"))
+        large = materialise(large, "large")
+        down = materialise(large.groupBy("hi").agg(F.min("lo").alias("m")), "down")
         small = (
             large.join(down, "hi")
             .select(F.explode(F.array(F.struct(F.col("hi"), F.col("m").alias("lo")), F.struct(F.col("lo").alias("hi"), F.col("m").alias("lo")))).alias("e"))
