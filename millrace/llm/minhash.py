@@ -268,8 +268,10 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, k: int, num: int, den:
     full = materialise(text.select("node", "component", "n", "text").mapInArrow(sets, "node long, component long, n long, s binary"), "sets")
     full = full.withColumn("size", F.octet_length("s"))
     small = full.filter(F.col("n") <= block).select("component", F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("mine"), "node", "s")
-    # Above `block`: by hash into blocks, each block meeting each other once.
-    blocks = F.ceil(F.col("n") / block).cast("int")
+    # Above `block`: by hash into blocks, each block meeting each other once. Blocks grow with the root of the cluster, to seven
+    # times `block`, which keeps tasks even in middling clusters and copies few in large ones.
+    wide = F.greatest(F.lit(block), F.least(F.lit(7 * block), F.sqrt("n") * (6 * block / 300)))
+    blocks = F.ceil(F.col("n") / wide).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     large = full.filter(F.col("n") > block).withColumn("mine", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     large = large.select("component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "s")
@@ -288,7 +290,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, k: int, num: int, den:
 
 
 def near_duplicates(
-    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, side: int = 6, half: int = 3, loose: float | None = None, block: int = 1000
+    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, side: int = 6, half: int = 3, loose: float | None = None, block: int = 300
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; links are den*|A&B| >= num*|A|B|."""
     threshold = num / den
