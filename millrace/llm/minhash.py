@@ -2,7 +2,7 @@
 
 Two small collections of half-keys (each a hash of `half` minhashes) are computed; every
 pair of one half-key from either collection is a table key, so side*side tables cost only
-2*side*half minhashes. Candidates sharing a table are thinned on their signatures and
+2*side*half minhashes. With 10 and 3, a pair of likeness 0.85 shares a table with probability 0.9998, one of 0.8 with 0.998. Candidates sharing a table are thinned on their signatures and
 confirmed on full shingle sets.
 
 1. Documents with equal shingle sets form a class; only the smallest id of each class goes on.
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from millrace.llm.common import materialise
 from millrace.llm.graph import connected_components
@@ -191,8 +192,9 @@ def _table_edges(threshold: float, loose: float):
 def candidate_edges(reps: DataFrame, threshold: float, loose: float) -> DataFrame:
     """reps (id, keys, sig) -> (a, b)."""
     rows = reps.select("id", F.explode("keys").alias("key"))
-    shared = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("key")
-    hits = materialise(rows.join(shared, "key").select("key", "id"), "tables")
+    # One shuffle of (key, id): the window's sort also tells which tables hold two classes or more.
+    hits = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1").select("key", "id")
+    hits = materialise(hits, "tables")
     full = hits.join(reps.select("id", "sig"), "id").select("key", "id", "sig")
     return full.repartition("key").sortWithinPartitions("key", "id").mapInArrow(_table_edges(threshold, loose), "a long, b long").distinct()
 
@@ -290,7 +292,7 @@ def confirmed_links(docs: DataFrame, clusters: DataFrame, k: int, num: int, den:
 
 
 def near_duplicates(
-    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, side: int = 6, half: int = 3, loose: float | None = None, block: int = 300
+    docs: DataFrame, k: int = 5, num: int = 80, den: int = 100, side: int = 10, half: int = 3, loose: float | None = None, block: int = 300
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row; links are den*|A&B| >= num*|A|B|."""
     threshold = num / den
