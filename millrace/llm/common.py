@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import zlib
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.sources.session import materialise, shared_dir, ship
 
-__all__ = ["fold", "labelled_sample", "materialise", "own_columns", "read", "shared_dir", "ship"]
+__all__ = ["fold", "labelled_sample", "materialise", "read", "shared_dir", "ship"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -35,12 +33,3 @@ def labelled_sample(labels: DataFrame, label: str, modulus: int, held_out: int,
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(most)
     )
-
-
-def own_columns(df: DataFrame, *names: str) -> DataFrame:
-    """Only the named columns; columns that an input lacks, or has twice under another case, are an error of Spark's."""
-    return df.select(*names)
-
-
-def crc(data: bytes) -> int:
-    return zlib.crc32(data)
