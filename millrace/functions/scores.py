@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.functions import lexicons as L
-from millrace.functions.text import _c, let, sentence_lengths, sentences, strip, word_count, word_tokens, words
+from millrace.functions.text import _c, let, run_counts, sentence_lengths, sentences, strip, word_count, word_tokens, words
 
 
 def hits(x: Column, keywords: list[str]) -> Column:
@@ -55,14 +55,8 @@ def word_repetition(x: Column | str) -> Column:
 
 def top_frequency(x: Column | str) -> Column:
     """How often the most frequent word of more than three letters stands in the text: the longest run of the sorted words."""
-    w = F.array_sort(F.filter(F.transform(words(x), lambda s: F.btrim(F.lower(s), F.lit(".,!?;:'\""))), lambda s: F.length(s) > 3))
-    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.lit(0).alias("most"))
-
-    def step(acc: Column, s: Column) -> Column:
-        n = F.when(acc["w"] == s, acc["n"] + 1).otherwise(1)
-        return F.struct(s.alias("w"), n.alias("n"), F.greatest(acc["most"], n).alias("most"))
-
-    return F.aggregate(w, start, step, lambda acc: acc["most"])
+    w = F.sort_array(F.filter(F.transform(words(x), lambda s: F.btrim(F.lower(s), F.lit(".,!?;:'\""))), lambda s: F.length(s) > 3))
+    return F.coalesce(-F.array_min(F.transform(run_counts(w), lambda c: c["n"])), F.lit(0))
 
 
 def _parts(x: Column) -> Column:

@@ -92,6 +92,20 @@ def clean_neutral(x: Column | str) -> Column:
     return strip(F.regexp_replace(F.regexp_replace(_c(x), r"^[\s.,;:!?\-–—]+", ""), "  +", " "))
 
 
+def run_counts(ordered: Column) -> Column:
+    """array<struct<n, w>> of a sorted array: each distinct element with how often it stands, negative, so that sorting puts the most frequent first.
+
+    A run's length is the distance between the places where elements change, so nothing grows element by element.
+    """
+    starts = lambda w: F.filter(F.sequence(F.lit(1), F.size(w)), lambda i: (i == 1) | (w[i - 1] != w[i - 2]))
+
+    def of(w: Column) -> Column:
+        ends = lambda at: F.concat(F.slice(at, F.lit(2), F.size(at)), F.array(F.size(w) + 1))
+        return let(starts(w), lambda at: F.zip_with(at, ends(at), lambda a, b: F.struct((a - b).alias("n"), w[a - 1].alias("w"))))
+
+    return let(ordered, lambda w: F.when(F.size(w) > 0, of(w)).otherwise(F.expr("cast(array() as array<struct<n:int,w:string>>)")))
+
+
 def token_estimate(x: Column | str) -> Column:
     """int(words * 1.3)."""
     return F.floor(word_count(x) * F.lit(1.3)).cast("int")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from millrace.functions import lexicons as L
-from millrace.functions.text import word_tokens
+from millrace.functions.text import run_counts, word_tokens
 from millrace.functions.vectors import cosine, cosine_distance_unit, euclidean
 from millrace.operators.joins import centroid
 from millrace.operators.ranks import global_rank
@@ -66,18 +66,7 @@ def k_center(df: DataFrame, key: str, vec: str, k: int, metric: str = "cosine",
 def content_signature(x: Column | str) -> Column:
     """Of the words of five letters or more that aren't stop words, the five most frequent, ties by word, sorted."""
     w = F.filter(word_tokens(x), lambda s: s.rlike("^[a-z]{5,}$") & ~s.isin(*L.CLUSTER_STOP_WORDS))
-    ordered = F.array_sort(w)
-    start = F.struct(F.lit("").alias("w"), F.lit(0).alias("n"), F.expr("cast(array() as array<struct<n:int,w:string>>)").alias("out"))
-
-    def step(acc: Column, s: Column) -> Column:
-        same = acc["w"] == s
-        return F.struct(
-            s.alias("w"), F.when(same, acc["n"] + 1).otherwise(1).alias("n"),
-            F.when(same | (acc["n"] == 0), acc["out"]).otherwise(F.concat(acc["out"], F.array(F.struct((-acc["n"]).alias("n"), acc["w"].alias("w"))))).alias("out"),
-        )
-
-    counts = F.aggregate(F.concat(ordered, F.array(F.lit("￿"))), start, step, lambda acc: acc["out"])
-    return F.array_join(F.array_sort(F.transform(F.slice(F.array_sort(counts), 1, 5), lambda c: c["w"])), " ")
+    return F.array_join(F.array_sort(F.transform(F.slice(F.sort_array(run_counts(F.sort_array(w))), 1, 5), lambda c: c["w"])), " ")
 
 
 def content_cluster(x: Column | str, clusters: int = 50) -> Column:
