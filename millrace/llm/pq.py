@@ -3,13 +3,17 @@
 1. Equal vectors form a class of one representative and a multiplicity.
 2. Coarse centroids and residual codebooks are fitted on a bounded sample (`train` vectors).
 3. Every representative is put in the list of its nearest centroid, as residual subspace codes with
-   the norm of what the codes leave out, and asks the `probes` nearest lists.
-4. A list's queries and members meet in blocks. Asymmetric distances come from a lookup table a
-   query; a pair goes on only if its table sum plus the member's left-out norm reaches the threshold
-   (a bound, so nothing is lost), and is confirmed by the exact cosine in double precision.
+   the norm of what the codes leave out. Lists are packed into blocks of at most about `block` members,
+   a row each; a larger list takes several.
+4. Two blocks meet if any of their lists can hold a linked pair: by the triangle inequality only where
+   the centroids are no further apart than both radii and the threshold's distance. In a meeting, a vector
+   asks every list that its own distance from the centroid lets it reach. The asymmetric distance is
+   the product with the decoded codes; a pair goes on only if that plus the member's left-out norm
+   reaches the threshold. All three are bounds, so nothing is lost; the exact cosine decides.
 5. A task returns sums per vector and a spanning forest of its links, never the pairs.
 
-A pair is found if either vector's probes hold the other's list; each side counts it once.
+Every pair at the threshold is found, whatever the table's size. Where no bound tells lists apart (vectors
+spread evenly), that is every pair of blocks: the work is then quadratic, with no shuffle of it.
 
 Defined cases: vectors that are null, empty, zero, of another length than the first in id order, or
 hold null or non-finite components link with nothing; equal vectors link with each other; a
@@ -116,107 +120,214 @@ def _classes(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 COUNTED = "id long, n long, a long, b long"
-
-
-def _found(threshold: float, index):
-    """Cogrouped function: members and queries of one block -> counts by vector and a forest of links."""
-
-    def run(key, members, queries):
-        at = int(key[0].as_py())
-        if not members.num_rows or not queries.num_rows:
-            return pa.table({"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+PACKED = "block int, meets array<int>, ids binary, mults binary, vecs binary, lists binary, codes binary, left_out binary"
+#: A task's sums and links are reduced when so many are held.
+HELD = 1_000_000
+
+
+def _labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least node of each node's component, for links a-b."""
+    up = np.arange(n)
+    while True:
+        x, y = up[a], up[b]
+        if (x == y).all():
+            return up
+        np.minimum.at(up, np.maximum(x, y), np.minimum(x, y))
+        while (up[up] != up).any():
+            up = up[up]
+
+
+def _forest(hit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (row, column) that connect what all of the matrix's links connect: a first one of each row and column, until none joins two parts."""
+    rows, cols = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new = hit
+    while new.any():
+        i, j = np.flatnonzero(new.any(1)), np.flatnonzero(new.any(0))
+        rows, cols = np.concatenate([rows, i, new[:, j].argmax(0)]), np.concatenate([cols, new[i].argmax(1), j])
+        label = _labels(sum(hit.shape), rows, len(hit) + cols)
+        new = hit & (label[: len(hit), None] != label[None, len(hit) :])
+    return rows, cols
+
+
+def _links(q: np.ndarray, d: np.ndarray, approx: np.ndarray, left: np.ndarray, threshold: float) -> np.ndarray:
+    """Whether each q and d reach the threshold; approx and left: the d decoded, and what that leaves out."""
+    # Twice the rounding error of a product of unit vectors in single precision.
+    slack = 2.4e-7 * (q.shape[1] + 4)
+    q32 = q.astype(np.float32)
+    maybe = q32 @ approx.T + left[None, :] >= threshold - slack
+    if np.count_nonzero(maybe) > maybe.size // 50:
+        cos = q32 @ d.T.astype(np.float32)
+        sure = cos >= threshold + slack
+        maybe = (cos >= threshold - slack) & ~sure
+    else:
+        sure = np.zeros(maybe.shape, bool)
+    i, j = np.nonzero(maybe)
+    for s in range(0, len(i), 65536):
+        part = slice(s, s + 65536)
+        sure[i[part], j[part]] = np.einsum("ij,ij->i", q[i[part]], d[j[part]]) >= threshold
+    return sure
+
+
+def _reach(c: np.ndarray, x: np.ndarray, low: np.ndarray, high: np.ndarray, far: float) -> np.ndarray:
+    """(rows of x, lists): whether a vector can have a partner in a list whose members are between low and high from its centroid."""
+    apart = np.sqrt(np.maximum((x * x).sum(1)[:, None] + (c * c).sum(1) - 2 * (x @ c.T), 0))
+    return (apart <= high + far) & (apart >= low - far)
+
+
+def _found(threshold: float, far: float, index, radii):
+    """Pairs of blocks -> counts by vector and a forest of links, summed over the task."""
+
+    def block(row):
+        ids, mults, lists, left = (np.frombuffer(row[k], t) for k, t in (("ids", np.int64), ("mults", np.int64), ("lists", np.int32), ("left_out", np.float64)))
+        x = np.frombuffer(row["vecs"], np.float64).reshape(len(ids), -1)
+        codes = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1)
+        return ids, mults, x / np.linalg.norm(x, axis=1, keepdims=True), lists, codes, left
+
+    def meeting(one, other, same):
+        low, high = radii.value
         ix = index.value
-        d_id, d_mult = members.column("id").to_numpy(), members.column("mult").to_numpy()
-        d = _unit_rows(members.column("vec").to_pylist())
-        codes = np.frombuffer(b"".join(members.column("codes").to_pylist()), np.uint8).reshape(len(d), -1)
-        left = members.column("left_out").to_numpy()
-        asks = np.array(members.column("lists").to_pylist()).reshape(len(d), -1)
-        q_id, q_mult, q_list = queries.column("q_id").to_numpy(), queries.column("q_mult").to_numpy(), queries.column("q_own").to_numpy()
-        q = _unit_rows(queries.column("q_vec").to_pylist())
-        d_n, q_n = np.zeros(len(d), np.int64), np.zeros(len(q), np.int64)
-        w = ix.books.shape[2]
-        up = {}
-
-        def root(x):
-            while up.setdefault(x, x) != x:
-                up[x] = up[up[x]]
-                x = up[x]
-            return x
-
-        edges = []
-        for lo in range(0, len(q), 256):
-            part = q[lo : lo + 256]
-            wide = _padded(part, len(ix.order))
-            sums = np.repeat((part @ ix.coarse[at])[:, None], len(d), 1)
-            for m in range(len(ix.books)):
-                table = wide[:, m * w : (m + 1) * w] @ ix.books[m].T
-                sums += table[:, codes[:, m]]
-            i, j = np.nonzero(sums + left >= threshold - 1e-9)
-            ok = q_id[lo + i] != d_id[j]
-            i, j = i[ok], j[ok]
-            cos = np.concatenate([np.einsum("ij,ij->i", part[i[s : s + 65536]], d[j[s : s + 65536]]) for s in range(0, len(i), 65536)]) if len(i) else np.zeros(0)
-            ok = cos >= threshold
-            i, j = i[ok] + lo, j[ok]
-            np.add.at(q_n, i, d_mult[j])
-            # The member counts the pair here unless its own probes find it.
-            alone = (asks[j] != q_list[i][:, None]).all(1)
-            np.add.at(d_n, j[alone], q_mult[i[alone]])
-            for a, b in zip(q_id[i].tolist(), d_id[j].tolist(), strict=True):
-                x, y = root(a), root(b)
-                if x != y:
-                    up[max(x, y)] = min(x, y)
-                    edges.append((a, b))
-        ids = np.concatenate([q_id[q_n > 0], d_id[d_n > 0]])
-        ns = np.concatenate([q_n[q_n > 0], d_n[d_n > 0]])
-        none = [None]
-        return pa.table(
-            {
-                "id": pa.array(ids.tolist() + none * len(edges), pa.int64()),
-                "n": pa.array(ns.tolist() + none * len(edges), pa.int64()),
-                "a": pa.array(none * len(ids) + [a for a, _ in edges], pa.int64()),
-                "b": pa.array(none * len(ids) + [b for _, b in edges], pa.int64()),
-            }
-        )
+        q_id, q_mult, q, *_ = one
+        d_id, d_mult, d, lists, codes, left = other
+        hit = np.zeros((len(q), len(d)), bool)
+        held = np.unique(lists)
+        can = _reach(ix.coarse[held], q, low[held], high[held], far)
+        approx = ix.decoded(lists, codes).astype(np.float32)
+        # Lists that the same vectors reach are asked in one product.
+        kinds, kind = np.unique(can, axis=1, return_inverse=True)
+        kind = kind.reshape(-1)[np.searchsorted(held, lists)]
+        for k in range(kinds.shape[1]):
+            i, j = np.flatnonzero(kinds[:, k]), np.flatnonzero(kind == k)
+            if len(i):
+                hit[np.ix_(i, j)] = _links(q[i], d[j], approx[j], left[j], threshold)
+        both = np.intersect1d(q_id, d_id)
+        for x in both:
+            hit[np.ix_(q_id == x, d_id == x)] = False
+        if same:
+            hit |= hit.T
+        # Sums as float are exact below 2**53.
+        counts = [(q_id, (hit @ d_mult.astype(float)).astype(np.int64))]
+        if not same:
+            counts.append((d_id, (q_mult.astype(float) @ hit).astype(np.int64)))
+        a, b = _forest(hit)
+        return counts, q_id[a], d_id[b]
+
+    def summed(held):
+        ids, at = np.unique(np.concatenate([i for i, _ in held]), return_inverse=True)
+        n = np.zeros(len(ids), np.int64)
+        np.add.at(n, at, np.concatenate([n for _, n in held]))
+        return [(ids[n > 0], n[n > 0])]
+
+    def joined(held):
+        ids, at = np.unique(np.concatenate([x for ab in held for x in ab]), return_inverse=True)
+        half = np.cumsum([0] + [len(x) for ab in held for x in ab])
+        a = np.concatenate([at[half[k] : half[k + 1]] for k in range(0, len(half) - 1, 2)])
+        b = np.concatenate([at[half[k] : half[k + 1]] for k in range(1, len(half) - 1, 2)])
+        top = ids[_labels(len(ids), a, b)]
+        return [(top[top != ids], ids[top != ids])]
+
+    def run(it):
+        counts, links = [], []
+        for rb in it:
+            for at in range(rb.num_rows):
+                row = {k: rb.column(i)[at].as_py() for i, k in enumerate(rb.schema.names)}
+                same = row["block"] == row["d_block"]
+                one = block(row)
+                other = one if same else block({k[2:]: v for k, v in row.items() if k.startswith("d_")})
+                more, a, b = meeting(one, other, same)
+                counts += [(i[n > 0], n[n > 0]) for i, n in more]
+                links.append((a, b))
+                if sum(len(i) for i, _ in counts) > HELD:
+                    counts = summed(counts)
+                if sum(len(a) for a, _ in links) > HELD:
+                    links = joined(links)
+        if not counts:
+            return
+        (ids, n), (a, b) = summed(counts)[0], joined(links)[0]
+        no = pa.nulls(len(a), pa.int64()), pa.nulls(len(ids), pa.int64())
+        columns = [pa.concat_arrays(x) for x in ([pa.array(ids), no[0]], [pa.array(n), no[0]], [no[1], pa.array(a)], [no[1], pa.array(b)])]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "a", "b"])
 
     return run
 
 
+def _blocks(coarse: np.ndarray, sizes: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """First block, and number of blocks, of each list; each is followed by the nearest one left, so that blocks hold neighbours."""
+    order, left = [0], np.ones(len(coarse), bool)
+    left[0] = False
+    half = (coarse**2).sum(1) / 2
+    while left.any():
+        order.append(int(np.argmax(np.where(left, coarse @ coarse[order[-1]] - half, -np.inf))))
+        left[order[-1]] = False
+    first, chunks = np.zeros(len(coarse), np.int64), np.ones(len(coarse), np.int64)
+    at, held = 0, 0
+    for x in order:
+        if held and held + sizes[x] > block:
+            at, held = at + 1, 0
+        first[x], chunks[x] = at, max(1, -(-sizes[x] // block))
+        held += sizes[x]
+        if chunks[x] > 1:
+            at, held = at + chunks[x], 0
+    return first, chunks
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, per_list: int = 400, probes: int = 12, train: int = 12_000, most_lists: int = 4096, block: int = 2000) -> DataFrame:
-    """Per row: vec_id, n_links, component_id, kept."""
+    """Per row: vec_id, n_links, component_id, kept. `probes` bounds nothing: every list within reach is asked."""
     rows, classes = _classes(vectors)
     spark = vectors.sparkSession
     sample = classes.orderBy(F.xxhash64("key"), "key").limit(train).select("vec").collect()
     if not sample:
         return rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     lists = int(np.clip(classes.count() // per_list, 1, most_lists))
-    index = spark.sparkContext.broadcast(fit(_unit_rows([bytes(r.vec) for r in sample]), lists))
+    fitted = fit(_unit_rows([bytes(r.vec) for r in sample]), lists)
+    index = spark.sparkContext.broadcast(fitted)
 
     def code(it):
         for rb in it:
             if not rb.num_rows:
                 continue
-            found, codes, left = index.value.coded(_unit_rows(rb.column("vec").to_pylist()), probes)
+            x = _unit_rows(rb.column("vec").to_pylist())
+            found, codes, left = index.value.coded(x, 1)
+            apart = np.linalg.norm(x - index.value.coarse[found[:, 0]], axis=1)
             yield pa.RecordBatch.from_arrays(
-                [rb.column("id"), rb.column("mult"), rb.column("vec"), pa.array(found.tolist(), pa.list_(pa.int32())), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(left)],
-                names=["id", "mult", "vec", "lists", "codes", "left_out"],
+                [rb.column("id"), rb.column("mult"), rb.column("vec"), pa.array(found[:, 0].astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(left), pa.array(apart)],
+                names=["id", "mult", "vec", "list", "codes", "left_out", "apart"],
             )
 
-    coded = materialise(classes.select("id", "mult", "vec").mapInArrow(code, "id long, mult long, vec binary, lists array<int>, codes binary, left_out double"), "coded")
-    members = coded.withColumn("own", F.col("lists")[0])
-    queries = coded.select(
-        F.col("id").alias("q_id"), F.col("mult").alias("q_mult"), F.col("vec").alias("q_vec"), F.col("lists")[0].alias("q_own"), F.explode("lists").alias("list")
-    )
+    coded = materialise(classes.select("id", "mult", "vec").mapInArrow(code, "id long, mult long, vec binary, list int, codes binary, left_out double, apart double"), "coded")
     # One row a list.
-    sizes = coded.groupBy(F.col("lists")[0].alias("list")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("d_blocks"))
-    asked = queries.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / (4 * block)).cast("int").alias("q_blocks"))
-    sizes = F.broadcast(sizes.join(asked, "list"))
-    spread = F.pmod(F.xxhash64("id"), F.col("d_blocks")).cast("int")
-    ask = F.pmod(F.xxhash64("q_id", F.lit(1)), F.col("q_blocks")).cast("int")
-    d = members.withColumnRenamed("own", "list").join(sizes, "list")
-    d = d.select("list", spread.alias("i"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("j"), "id", "mult", "vec", "codes", "left_out", "lists")
-    q = queries.join(sizes, "list").select("list", F.explode(F.sequence(F.lit(0), F.col("d_blocks") - 1)).alias("i"), ask.alias("j"), "q_id", "q_mult", "q_vec", "q_own")
-    found = d.groupBy("list", "i", "j").cogroup(q.groupBy("list", "i", "j")).applyInArrow(_found(threshold, index), COUNTED)
-    found = materialise(found, "links")
+    sizes, low, high = np.zeros(len(fitted.coarse), np.int64), np.zeros(len(fitted.coarse)), np.zeros(len(fitted.coarse))
+    for r in coded.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.min("apart").alias("low"), F.max("apart").alias("high")).collect():
+        sizes[r["list"]], low[r["list"]], high[r["list"]] = r.n, r.low, r.high
+    far = float(np.sqrt(max(0.0, 2 - 2 * threshold))) + 1e-6
+    first, chunks = _blocks(fitted.coarse, sizes, block)
+    radii = spark.sparkContext.broadcast((low, high))
+    full = np.flatnonzero(sizes)
+    c = fitted.coarse[full]
+    meet = _reach(c, c, low[full] - high[full][:, None], high[full] + high[full][:, None], far)
+    of_list = dict(zip(full.tolist(), [full[m] for m in meet], strict=True))
+    place = spark.sparkContext.broadcast((first, chunks, of_list))
+
+    def pack(t):
+        start, n, reach = place.value
+        at = t.column("block")[0].as_py()
+        lists = t.column("list").to_numpy().astype(np.int32)
+        met = np.unique(np.concatenate([reach[x] for x in np.unique(lists).tolist()]))
+        blocks = np.unique(np.concatenate([start[x] + np.arange(n[x]) for x in met]))
+        flat = [t.column(k).to_numpy() for k in ("id", "mult", "left_out")]
+        one = {
+            "block": [at], "meets": [blocks[blocks >= at].astype(np.int32)], "ids": [flat[0].tobytes()], "mults": [flat[1].tobytes()], "vecs": [b"".join(t.column("vec").to_pylist())],
+            "lists": [lists.tobytes()], "codes": [b"".join(t.column("codes").to_pylist())], "left_out": [flat[2].tobytes()],
+        }
+        types = {"block": pa.int32(), "meets": pa.list_(pa.int32())}
+        return pa.table({k: pa.array(v, types.get(k, pa.binary())) for k, v in one.items()})
+
+    places = spark.createDataFrame([(int(x), int(first[x]), int(chunks[x])) for x in full], "list int, first int, chunks int")
+    members = coded.join(F.broadcast(places), "list").withColumn("block", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("chunks"))).cast("int"))
+    packed = materialise(members.groupBy("block").applyInArrow(pack, PACKED), "blocks")
+    others = packed.drop("meets").select([F.col(k).alias(f"d_{k}") for k in packed.columns if k != "meets"])
+    # Blocks are read again where they meet; nothing is shuffled.
+    pairs = packed.join(others.hint("shuffle_replicate_nl"), F.expr("block <= d_block and array_contains(meets, d_block)")).drop("meets")
+    found = materialise(pairs.mapInArrow(_found(threshold, far, index, radii), COUNTED), "links")
     counts = found.filter("id is not null").groupBy("id").agg(F.sum("n").alias("n"))
     linked = connected_components(found.filter("a is not null").select("a", "b"))
     by_key = classes.select("key", "id", "mult").join(counts, "id", "left").join(linked, F.col("id") == F.col("node"), "left")

@@ -57,3 +57,16 @@ def test_codes_bound_the_distance():
     lists, codes, left = ix.coded(x, 3)
     approx = x @ ix.decoded(lists[:, 0], codes).T
     assert (np.abs(x @ x.T - approx) <= left[None, :] + 1e-9).all()
+
+
+def test_no_link_is_lost_in_a_large_group(spark):
+    """A third of the rows in one near-copy group, over far more lists than any fixed number of probes."""
+    rng = np.random.default_rng(4)
+    group = rng.normal(size=64) + rng.normal(size=(700, 64)) * 0.3
+    x = np.concatenate([group, rng.normal(size=(1400, 64))]).astype(np.float32)
+    ids = rng.permutation(len(x))
+    rows = [(int(i), v.tolist(), 0, "m") for i, v in zip(ids, x, strict=True)]
+    got = {r.vec_id: r for r in pq.near_vectors(spark.createDataFrame(rows, SCHEMA), per_list=20, block=150).collect()}
+    n, comp = brute(ids, x)
+    assert n.sum() > 300_000
+    assert [got[int(i)].n_links for i in ids] == n.tolist() and [got[int(i)].component_id for i in ids] == comp.tolist()
