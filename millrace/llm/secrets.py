@@ -25,7 +25,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 #: Weak parts: by themselves they say nothing.
 WEAK_ID = r"""((?i:client_?id|access_?key_?id|account|user_?name|user|login))["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@-]{3,})"""
-WEAK_KEY = r"(?<![A-Za-z0-9+/=_-])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39}[A-Z])(?=[A-Za-z0-9+/]{0,39}[a-z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
+WEAK_KEY = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z0-9+/]{0,39}[0-9])(?=[A-Za-z0-9+/]{0,39}[A-Z])(?=[A-Za-z0-9+/]{0,39}[a-z])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=_-])"
 ENDPOINT = r"""(?i:https?|ftp|jdbc|redis|mongodb|postgres(?:ql)?|mysql|amqp|s3)(?::[a-z]{1,20})?://[^\s"'<>]{3,}|(?i:host(?:name)?|endpoint|server)["']?\x20*[:=]\x20*["']?[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}"""
 
 #: Order of kinds at one start.
@@ -59,34 +59,27 @@ def _spans(text: Column, pattern: str, rank: int, least_group: tuple[int, int] |
 def _near(spans: Column, others: Column, scope: int) -> Column:
     """The spans that have one of the others, not overlapping them, within the scope.
 
-    Both sides are put in order of place and swept once each way: on the way, the nearest other's end
-    (or start) is all that is kept.
+    Both sides are put in order of place and swept once each way: forth by the others' ends and the spans'
+    starts, back by the others' starts and the spans' ends. So the last other passed is the nearest
+    that doesn't overlap, whatever longer ones lie around it.
     """
     none = F.expr(f"cast(array() as {SPAN})")
-    tagged = F.array_sort(
-        F.concat(
-            F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["rank"].alias("rank"), F.lit(1).alias("mine"))),
-            F.transform(others, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["rank"].alias("rank"), F.lit(0).alias("mine"))),
-        )
-    )
-    far = F.lit(-1_000_000_000)
 
-    def forth(acc: Column, x: Column) -> Column:
-        hit = (x["mine"] == 1) & (acc["last"] <= x["start"]) & (x["start"] - acc["last"] <= scope)
-        one = F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"))
-        return F.struct(
-            F.when(x["mine"] == 0, F.greatest(acc["last"], x["end"])).otherwise(acc["last"]).alias("last"), F.when(hit, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out")
-        )
+    def tagged(mine: str, other: str, order: int) -> Column:
+        """order: of the others among what is at one place, where spans have 1."""
+        one = F.transform(spans, lambda x: F.struct(x[mine].alias("at"), F.lit(1).alias("mine"), x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end")))
+        two = F.transform(others, lambda x: F.struct(x[other].alias("at"), F.lit(order).alias("mine"), x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end")))
+        return F.array_sort(F.concat(one, two))
 
-    def back(acc: Column, x: Column) -> Column:
-        hit = (x["mine"] == 1) & (acc["last"] >= x["end"]) & (acc["last"] - x["end"] <= scope)
+    far = F.lit(-1_000_000_000)
+
+    def step(acc: Column, x: Column) -> Column:
+        hit = (x["mine"] == 1) & (F.abs(x["at"] - acc["last"]) <= scope)
         one = F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"))
-        return F.struct(
-            F.when(x["mine"] == 0, F.least(acc["last"], x["start"])).otherwise(acc["last"]).alias("last"), F.when(hit, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out")
-        )
+        return F.struct(F.when(x["mine"] == 1, acc["last"]).otherwise(x["at"]).alias("last"), F.when(hit, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
 
-    before = F.aggregate(tagged, F.struct(far.alias("last"), none.alias("out")), forth, lambda a: a["out"])
-    after = F.aggregate(F.reverse(tagged), F.struct((-far).alias("last"), none.alias("out")), back, lambda a: a["out"])
+    before = F.aggregate(tagged("start", "end", 0), F.struct(far.alias("last"), none.alias("out")), step, lambda a: a["out"])
+    after = F.aggregate(F.reverse(tagged("end", "start", 2)), F.struct((-far).alias("last"), none.alias("out")), step, lambda a: a["out"])
     return F.when((F.size(spans) > 0) & (F.size(others) > 0), F.array_union(before, after)).otherwise(none)
 
 
