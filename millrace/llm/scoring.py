@@ -25,7 +25,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int,
 
     def extract(it):
         for rb in it:
-            f = [features(t).tobytes() for t in rb.column(2).to_pylist()]
+            f = [features(t or "").tobytes() for t in rb.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(f, pa.binary())], names=["doc_id", "y", "f"])
 
     rows = found.mapInArrow(extract, "doc_id long, y int, f binary").orderBy(F.xxhash64("doc_id"), "doc_id", "f").limit(most).collect()

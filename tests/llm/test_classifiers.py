@@ -77,3 +77,11 @@ def test_registered_queries(spark):
         got = QUERIES[name](spark, "/root/testdata/sf0.001").toPandas()
         assert (got.held_out == (fold(got.doc_id, modulus) == held)).all()
         assert len(got) == 200
+
+
+@pytest.mark.parametrize("scores,modulus,held", [(quality.quality_scores, 5, 0), (toxicity.toxicity_scores, 4, 2)])
+def test_a_labelled_null_text_is_empty(spark, scores, modulus, held):
+    ids = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % modulus != held][:4]
+    df = docs(spark, list(zip(ids, [None, "", "some words", "other words"], strict=True)))
+    got = {r.doc_id: r.score for r in scores(df, spark.createDataFrame([(i, k % 2, k % 2) for k, i in enumerate(ids)], "doc_id long, quality int, toxic int")).collect()}
+    assert len(got) == 4 and got[ids[0]] == got[ids[1]]
