@@ -30,6 +30,7 @@ _SPLIT = re.compile(r"[\s_:-]+")
 #: HTML elements (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe xmp svg math canvas object".split())
+_CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)[^>]*+>?", re.I) for tag in RAW}
 BLOCK = frozenset(
     "address article aside blockquote body br center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html "
     "legend li main menu nav ol option p pre search section select summary table tbody tfoot thead title tr ul caption".split()
@@ -70,7 +71,6 @@ def lines_of(html: str) -> list[tuple[str, bool, bool]]:
     parts: list = []
     stack: list = []  # (tag, dropped, inside)
     dropped = inside = False
-    skip = ""
 
     def flush() -> None:
         if parts:
@@ -79,13 +79,12 @@ def lines_of(html: str) -> list[tuple[str, bool, bool]]:
                 out.append((text, dropped, inside))
             parts.clear()
 
-    for m in _TOKEN.finditer(html):
+    at = 0
+    while at < len(html):
+        m = _TOKEN.match(html, at)
+        at = m.end()
         token = m[0]
         tag = (m[2] or m[5] or "").lower()
-        if skip:
-            if tag == skip and (m[1] or m[4]):
-                skip = ""
-            continue
         if not tag:
             if token[0] != "<" or token == "<":
                 parts.append(htmllib.unescape(token))
@@ -118,7 +117,9 @@ def lines_of(html: str) -> list[tuple[str, bool, bool]]:
         attributes = m[3] or m[6] or ""
         if tag in RAW:
             if not attributes.rstrip().endswith("/"):
-                skip = tag
+                # Its contents are no markup: only its own closing tag, or the page's end, ends it.
+                close = _CLOSE[tag].search(html, at)
+                at = close.end() if close else len(html)
             continue
         if tag in VOID:
             continue

@@ -34,3 +34,10 @@ def test_awkward_pages(spark):
     got = extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
     assert sorted(r.n_chars for r in got) == [0, 1, 9999]
     assert extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_scripts_are_no_markup():
+    for code in ("for(var i=0;i<n;i++){f(i)}", "if (a<b) {g()}", "<!-- never closed", "x='<p class=\"';", "<![CDATA[ y"):
+        for tag in ("script", "STYLE"):
+            assert main_text(f"<article><p>a</p><{tag}>{code}</{tag.lower()} ><p>b</p></article>") == "a\nb"
+    assert main_text("<article>a<script>b</scripts>c</article>") == "a"
