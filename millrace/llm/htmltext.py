@@ -4,8 +4,11 @@ Markup is stripped into lines, one a block. Lines of menus, headers, footers, si
 adverts, forms, scripts, styles and reader comments weigh nothing, and where the page has an
 article or main element, so do the lines outside it; any other line weighs its length. The weights are
 summed over windows of `window` lines: a region surges where the sum rises above nothing and dives
-where it falls back to nothing, and counts if its sum passes `least` somewhere (with an article
-element, any region counts). The lines that weigh something between surge and dive are kept.
+where it falls back to nothing. The lines that weigh something between surge and dive are kept, in every
+region: a short one may be a poem or a closing paragraph, and its length doesn't tell it from a notice.
+
+Names mark containers only, never headings or paragraphs. Inside an article or main element a whole
+class name must be one of NAMES; elsewhere each part of a class name or id, but for parts of place (PLACES).
 
 Defined cases: null html is empty and gives an empty text of 0 characters; pages without main
 text give an empty text; tags cut off at the end of the page are dropped; references that
@@ -26,7 +29,7 @@ _TOKEN = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden|itemprop)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_SPLIT = re.compile(r"[\s_:-]+")
+_SPLIT = re.compile(r"[_:-]+")
 #: HTML elements (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template textarea title iframe xmp svg math canvas object".split())
@@ -42,6 +45,11 @@ NAMES = frozenset(
     "newsletter subscribe subscription signup login sidebar side aside menu menus nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments disqus "
     "reply replies respond social share sharing related recommended recommendations widget toolbar pagination pager copyright skip search".split()
 )
+#: Name parts that only say where something is; elements whose names mark them; what an article's own container may be called.
+PLACES = frozenset("site global top bottom left right bar box list wrapper container inner area".split())
+CONTAINERS = frozenset("div section ul ol dl table tbody tr td details center".split())
+OWN = frozenset("header masthead".split())
+MARKING, WITHIN = NAMES | PLACES, NAMES - OWN
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 MAIN = frozenset("article main".split())
 #: An open element that an opening tag closes.
@@ -60,7 +68,12 @@ def _marked(tag: str, attributes: str, inside: bool) -> bool:
             return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
-        if name in ("class", "id") and not NAMES.isdisjoint(_SPLIT.split(value)):
+        if tag not in CONTAINERS or name not in ("class", "id"):
+            continue
+        if inside:
+            if name == "class" and not WITHIN.isdisjoint(value.split()):
+                return True
+        elif any(not NAMES.isdisjoint(parts) and parts <= MARKING for parts in ({p for p in _SPLIT.split(x) if p} for x in value.split())):
             return True
     return False
 
@@ -135,7 +148,7 @@ def lines_of(html: str) -> list[tuple[str, bool, bool]]:
     return out
 
 
-def main_text(html: str | None, window: int = 3, least: int = 80) -> str:
+def main_text(html: str | None, window: int = 3) -> str:
     lines = lines_of(html or "")
     framed = any(inside and not dropped for _, dropped, inside in lines)
     weight = [0 if dropped or (framed and not inside) else len(text) for text, dropped, inside in lines]
@@ -154,17 +167,16 @@ def main_text(html: str | None, window: int = 3, least: int = 80) -> str:
         surge = i
         while i < n and sums[i]:
             i += 1
-        if framed or max(sums[surge:i]) >= least:
-            kept += [lines[j][0] for j in range(surge, i) if weight[j]]
+        kept += [lines[j][0] for j in range(surge, i) if weight[j]]
     return "\n".join(kept)
 
 
-def extract(pages: DataFrame, window: int = 3, least: int = 80) -> DataFrame:
+def extract(pages: DataFrame, window: int = 3) -> DataFrame:
     """Per page: page_id, url, text, n_chars."""
 
     def run(it):
         for rb in it:
-            texts = [main_text(h, window, least) for h in rb.column(2).to_pylist()]
+            texts = [main_text(h, window) for h in rb.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [rb.column(0), rb.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"]
             )

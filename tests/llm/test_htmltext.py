@@ -41,3 +41,14 @@ def test_scripts_are_no_markup():
         for tag in ("script", "STYLE"):
             assert main_text(f"<article><p>a</p><{tag}>{code}</{tag.lower()} ><p>b</p></article>") == "a\nb"
     assert main_text("<article>a<script>b</scripts>c</article>") == "a"
+
+
+def test_short_texts_and_harmless_names_are_kept():
+    menu = "<nav><p>a<p>b<p>c<p>d</nav>"
+    assert main_text(f"<body>{menu}<div class=content><p>Roses are red<p>violets too</div>{menu}</body>") == "Roses are red\nviolets too"
+    assert main_text(f"<body><div><p>{LONG}</div>{menu}<p>The end.</body>").endswith("page.\nThe end.")
+    page = """<h2 id="search-trees">Trees</h2><section id="related-work"><p>Work</section><div class="article-header"><h1 class="header">Title</h1></div><p class="alert">Mind"""
+    assert main_text(f"<article>{page}</article>") == main_text(f"<div>{page}</div>") == "Trees\nWork\nTitle\nMind"
+    for inside in ('<div class="x related">r</div>', '<ul class="share">s</ul>'):
+        assert main_text(f"<article><p>a</p>{inside}</article>") == "a"
+    assert main_text('<p>a</p><div id="site-header">h</div><div class="side-menu">m</div>') == "a"
