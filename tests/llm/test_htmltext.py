@@ -52,3 +52,57 @@ def test_short_texts_and_harmless_names_are_kept():
     for inside in ('<div class="x related">r</div>', '<ul class="share">s</ul>'):
         assert main_text(f"<article><p>a</p>{inside}</article>") == "a"
     assert main_text('<p>a</p><div id="site-header">h</div><div class="side-menu">m</div>') == "a"
+
+
+PARA = "<p>A paragraph of the article that is long enough to make the sum of a window surge, as main text does on any page.</p>"
+TEXT = PARA[3:-4]
+
+
+def test_the_window_decides_what_a_menu_is():
+    links = "".join(f"<li><a href='/{i}'>Topic {i}</a></li>" for i in range(4))
+    for page in (f"<article>{PARA}<ul>{links}</ul>{PARA}</article>", f"<div>{PARA}<ul>{links}</ul>{PARA}</div>"):
+        assert main_text(page, window=3) == f"{TEXT}\n{TEXT}"
+        assert main_text(page, window=5) == "\n".join([TEXT, *(f"Topic {i}" for i in range(4)), TEXT])
+    assert main_text(f"<article><p><a href=x>One link</a></p>{PARA}</article>") == f"One link\n{TEXT}"
+    assert main_text(f"<article><h1><a href=x>Title</a></h1>{PARA}<p>Fin.</article>") == f"Title\n{TEXT}\nFin."
+
+
+def test_the_surge_decides_which_element_is_the_article():
+    page = f"<body><article><h3>Teaser</h3><p>Read on</article><ul><li><a href=a>a</a><li><a href=a>b</a><li><a href=a>c</a></ul><div>{PARA}{PARA}<p>Fin.</div></body>"
+    assert main_text(page) == f"{TEXT}\n{TEXT}\nFin."
+    two = f"<article>{PARA}{PARA}</article><article><p>Mine too!</article><article>{PARA}</article>"
+    assert main_text(two) == f"{TEXT}\n{TEXT}\n{TEXT}"
+    assert main_text(f"<article>{PARA}</article><p>{TEXT}</p>" + f"<div>{PARA}</div>") == TEXT
+    assert main_text(f"<body><div><div>Home</div><div>News</div><div>Sport</div><div>About</div></div><div>{PARA}<p>Fin.</div></body>", window=1) == f"{TEXT}\nFin."
+
+
+def test_reader_comments_go():
+    for comments in (
+        f"<section id='comments'><h2>Comments</h2><article class='comment'>{PARA}</article><article>{PARA}</article></section>", f"<article class='comment even'>{PARA}</article>",
+        f"<div id='disqus_thread'>{PARA}</div>", f"<ol class='comment-list'><li>{PARA}</li></ol>", f"<article itemprop='comment'>{PARA}</article>", f"<article class='comment-body'>{PARA}</article>",
+    ):
+        assert main_text(f"<article>{PARA}</article>{comments}") == TEXT, comments
+        assert main_text(f"<article>{PARA}{comments}</article>") == TEXT, comments
+        assert main_text(f"<div class='content'>{PARA}</div>{comments}") == TEXT, comments
+    assert main_text(f"<article class='post comments-open'>{PARA}</article>") == TEXT
+    assert main_text(f"<article>{PARA}<div class='share-price'><p>Share price: 5</div></article>") == f"{TEXT}\nShare price: 5"
+
+
+def test_no_element_eats_the_page():
+    for tag in ("svg", "canvas", "object", "form", "nav"):
+        assert main_text(f"<article><div><{tag}></div>{PARA}</article>").endswith(TEXT)
+    assert main_text(f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math>.</p>{PARA}</article>") == f"Let x=2.\n{TEXT}"
+    assert main_text(f"<form action=x><input><article>{PARA}</article><p>button</form>") == TEXT
+    assert main_text(f"<nav><p>menu<div class=ad>ad<article>{PARA}</article>") == TEXT
+    assert main_text(f"<article>{PARA}<svg><title>t</title><text>drawn</text></svg><p>b</article>") == f"{TEXT}\nb"
+
+
+def test_pages_without_an_article():
+    menu = "<div>" + "".join(f"<a href=/{i}>Menu {i}</a><br>" for i in range(5)) + "</div>"
+    blog = f"<body>{menu}<div id=wrap><div class=post><h1>Title</h1><p>By A. Writer<p>1 May<p>Intro.{PARA}<p>Aside.{PARA}<p>End.</div>{menu}</div><div class=footer>{PARA}</div></body>"
+    assert main_text(blog) == f"Title\nBy A. Writer\n1 May\nIntro.\n{TEXT}\nAside.\n{TEXT}\nEnd."
+    table = f"<table><tr><td>{menu}</td><td><h1>Title</h1>{PARA}<p>End.</td></tr></table>"
+    assert main_text(table) == f"Title\n{TEXT}\nEnd."
+    plain = f"<body>{TEXT}<br>And more.<br>{TEXT}{menu}</body>"
+    assert main_text(plain) == f"{TEXT}\nAnd more.\n{TEXT}"
+    assert main_text(f"<body>{menu}</body>") == "\n".join(f"Menu {i}" for i in range(5))
