@@ -5,11 +5,17 @@
 2. The histogram of the remainders (at most `window` counts) goes to the driver, which
    enumerates pairs and triples of lengths that fill a window exactly, solves the repeat
    counts by non-negative least squares against the histogram, and rounds them.
-3. A document's rank among those of its length says which combination takes it. The ranks
-   no combination takes are laid end to end in order of length, cut at every window: the
-   greedy pack of the residuals, which pads one sequence in all. Both are arithmetic on
-   ranks, so no document list is ever gathered.
-4. Only residuals that a window boundary cuts are tokenised again, for their pieces' checksums.
+3. The residuals are packed greedily: the longest length left, then again and again the longest that
+   fits, for as long as that fills windows exactly. What is left then goes next-fit in order of length:
+   a document that doesn't fit the window is cut there and goes on in the next, which pads one sequence in all.
+4. A document's rank among those of its length says which combination or residual place takes it: all is
+   arithmetic on ranks, so no document list is ever gathered.
+5. Only residuals that a window boundary cuts are tokenised again, for their pieces' checksums.
+
+Ranks come from the places of rows in the written lengths (file and row number), counted in blocks of
+`BLOCK` rows; so no length and no repeated row meets in one task, and a lost task gives the same ranks again.
+
+A text that contains an added token's content, such as `<|endoftext|>`, takes its id there, as the library does by default.
 
 Defined cases: null text is empty, and so the end id alone; repeated rows are packed each
 on its own; an empty table gives no pieces; a null doc_id is packed like any other; extra
@@ -29,8 +35,8 @@ from pyspark.sql.window import Window
 
 from millrace.llm.common import materialise
 
-#: Rows of one length are ranked in so many salted parts, so that no length meets in one task.
-SALTS = 64
+#: Rows of one file are ranked in blocks of so many.
+BLOCK = 65_536
 #: Cut pieces of at most so many rows (32 bytes each) are broadcast to the texts; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 _CODERS: dict[str, Coder] = {}
@@ -40,7 +46,7 @@ class Coder:
     """Texts to the ids of the byte-level BPE in a tokenizers file, as little-endian unsigned 32-bit bytes.
 
     The file's vocabulary is read as merge ranks for tiktoken, which gives the same ids some four
-    times as fast; a text that it refuses goes to the tokenizers library itself.
+    times as fast; a text that it refuses, or that holds an added token, goes to the tokenizers library itself.
     """
 
     def __init__(self, path: str, end: int):
@@ -51,18 +57,22 @@ class Coder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         spec = json.loads(self.tokenizer.to_str())
-        special = {t["content"] for t in spec["added_tokens"]}
+        self.added = [t["content"] for t in spec["added_tokens"]]
         byte = _byte_of()
-        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in special}
+        ranks = {bytes(byte[c] for c in t): i for t, i in spec["model"]["vocab"].items() if t not in self.added}
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.end = np.array([end], "<u4").tobytes()
 
     def encoded(self, text: str | None) -> bytes:
-        try:
-            ids = self.fast.encode_to_numpy(text or "", disallowed_special=())
-        except Exception:  # its regular expressions have a limit of depth
+        text = text or ""
+        ids = None
+        if not any(t in text for t in self.added):
+            try:
+                ids = self.fast.encode_to_numpy(text, disallowed_special=())
+            except Exception:  # its regular expressions have a limit of depth
+                ids = None
+        if ids is None:
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids)
         return ids.astype("<u4").tobytes() + self.end
 
@@ -157,11 +167,47 @@ def solve(hist: np.ndarray, pairs: np.ndarray, triples: np.ndarray, rounds: int
     return out
 
 
+def greedy(left: np.ndarray, window: int) -> list[tuple[list[int], int]]:
+    """(lengths, repeats) that fill windows exactly: the longest length, then always the longest that fits.
+
+    A start that leaves a gap is given up; each round uses up a length or gives up one, so there are few rounds.
+    """
+    left, out = left.copy(), []
+    left[0] = 0
+    starts = left > 0
+    while starts.any():
+        longest = int(np.flatnonzero(starts)[-1])
+        own, gap = [longest], window - longest
+        left[longest] -= 1
+        while gap:
+            fits = np.flatnonzero(left[: gap + 1])
+            if not len(fits):
+                break
+            own.append(int(fits[-1]))
+            left[own[-1]] -= 1
+            gap -= own[-1]
+        np.add.at(left, own, 1)
+        if gap:
+            starts[longest] = False
+            continue
+        lengths, each = np.unique(own, return_counts=True)
+        n = int((left[lengths] // each).min())
+        left[lengths] -= n * each
+        out.append((own, n))
+        starts &= left > 0
+    return out
+
+
 def plan(hist: np.ndarray, window: int) -> Plan:
     pairs, triples = combinations(hist, window)
     counts = solve(hist, pairs, triples)
+    used = np.zeros(window, np.int64)
+    for part, n in ((pairs, counts[: len(pairs)]), (triples, counts[len(pairs) :])):
+        for k in range(part.shape[1]):
+            np.add.at(used, part[:, k], n)
+    rest = greedy(hist - used, window)
     rows, taken, first = [], np.zeros(window, np.int64), 0
-    for c, n in zip([*pairs.tolist(), *triples.tolist()], counts, strict=True):
+    for c, n in [*zip([*pairs.tolist(), *triples.tolist()], counts, strict=True), *rest]:
         if not n:
             continue
         at = 0
@@ -203,22 +249,27 @@ def measured(docs: DataFrame, path: str, end: int, window: int) -> DataFrame:
 
 
 def ranked(lens: DataFrame, window: int) -> DataFrame:
-    """lens with rest, rank (among rows of this rest, from 0) and before (full windows of all rows ordered before)."""
-    lens = lens.withColumn("rest", F.pmod("tokens", F.lit(window))).withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(SALTS)))
-    lens = lens.withColumn("full", F.size("crcs").cast("long"))
-    parts = lens.groupBy("rest", "salt").agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("f"))
+    """lens (read from files) with rest, rank (among rows of this rest, from 0) and before (full windows of all rows ordered before).
+
+    Rows are in order of rest, file, and place in the file.
+    """
+    names = lens.columns
+    lens = lens.withColumns(
+        {"rest": F.pmod("tokens", F.lit(window)), "full": F.size("crcs").cast("long"), "file": F.xxhash64(F.col("_metadata.file_path")), "place": F.col("_metadata.row_index")}
+    ).withColumn("block", F.expr(f"place div {BLOCK}"))
+    group = ["rest", "file", "block"]
+    parts = lens.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("f"))
     rests = parts.groupBy("rest").agg(F.sum("f").alias("rf"))
-    by_rest = Window.partitionBy("rest").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1)
+    by_rest = Window.partitionBy("rest").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.orderBy("rest").rowsBetween(Window.unboundedPreceding, -1)
-    # At most `window` rows meet in one task here, however many documents there are.
+    # At most `window` rows meet in one task here, and below one row a block of BLOCK, however many documents there are.
     rests = rests.select("rest", F.coalesce(F.sum("rf").over(over), F.lit(0)).alias("f_rest"))
-    parts = parts.select("rest", "salt", F.coalesce(F.sum("n").over(by_rest), F.lit(0)).alias("n_salt"), F.coalesce(F.sum("f").over(by_rest), F.lit(0)).alias("f_salt"))
-    # window * SALTS rows of 40 bytes at most.
-    offsets = F.broadcast(parts.join(F.broadcast(rests), "rest"))
-    own = Window.partitionBy("rest", "salt").orderBy("doc_id", "text_key")
+    parts = parts.select(*group, F.coalesce(F.sum("n").over(by_rest), F.lit(0)).alias("n_before"), F.coalesce(F.sum("f").over(by_rest), F.lit(0)).alias("f_before"))
+    offsets = parts.join(F.broadcast(rests), "rest")
+    own = Window.partitionBy(*group).orderBy("place")
     out = lens.withColumn("_r", F.row_number().over(own) - 1).withColumn("_f", F.sum("full").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("full"))
-    out = out.join(offsets, ["rest", "salt"])
-    return out.select(*[c for c in lens.columns if c != "salt"], (F.col("n_salt") + F.col("_r")).alias("rank"), (F.col("f_rest") + F.col("f_salt") + F.col("_f")).alias("before"))
+    out = out.join(offsets, group)
+    return out.select(*names, "rest", (F.col("n_before") + F.col("_r")).alias("rank"), (F.col("f_rest") + F.col("f_before") + F.col("_f")).alias("before"))
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, text_key long"
@@ -231,7 +282,7 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end: int = 1) -> DataFr
     for r in lens.groupBy(F.pmod("tokens", F.lit(window)).alias("rest")).count().collect():  # at most `window` rows
         hist[r["rest"]] = r["count"]
     full = lens.agg(F.coalesce(F.sum(F.size("crcs")), F.lit(0)).cast("long")).first()[0]
-    # At most 3 * window * 24 slots.
+    # Its slots are bounded by the window: at most 24 triples a length, the pairs, and the greedy ones (a length each).
     held = lens.sparkSession.sparkContext.broadcast(plan(hist, window))
 
     def place(it):

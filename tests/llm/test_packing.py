@@ -17,7 +17,6 @@ def test_round_trip(spark, window, most, monkeypatch):
 
     monkeypatch.setattr(packing, "BROADCAST_ROWS", most)
     tk = Tokenizer.from_file(tokenizer_path())
-    tk.encode_special_tokens = True
     got = packing.pack(docs(spark, TEXTS), tokenizer_path(), window).collect()
     ids = {(i, t): np.array(tk.encode(t or "", add_special_tokens=False).ids + [1], "<u4") for i, t in TEXTS}
     by_doc = defaultdict(list)
@@ -76,3 +75,34 @@ def test_plan_never_takes_more_than_there_is():
 
 def test_empty_table(spark):
     assert packing.pack(docs(spark, []), tokenizer_path()).count() == 0
+
+
+def test_added_tokens_take_the_librarys_ids():
+    from tokenizers import Tokenizer
+
+    tk = Tokenizer.from_file(tokenizer_path())
+    code = packing.coder(tokenizer_path(), 1)
+    for text in ("<|endoftext|>", "a <|endoftext|> b", "<|ENDOFTEXT|>", "<|endoftext", ""):
+        assert np.frombuffer(code.encoded(text), "<u4").tolist() == [*tk.encode(text, add_special_tokens=False).ids, 1]
+    assert np.frombuffer(code.encoded("<|endoftext|>"), "<u4").tolist() == [50256, 1]
+
+
+def test_greedy_fills_windows_exactly():
+    rng = np.random.default_rng(3)
+    for _ in range(5):
+        left = rng.integers(0, 4, 128)
+        used = np.zeros(128, int)
+        for own, n in packing.greedy(left, 128):
+            assert sum(own) == 128 and n > 0 and own[1:] == sorted(own[1:], reverse=True)
+            np.add.at(used, own, n)
+        assert (used <= left).all() and used.any()
+    assert packing.greedy(np.array([5, 0, 0, 0]), 4) == []
+
+
+def test_repeated_rows_are_ranked_apart(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK", 16)
+    texts = [(7, "the same text")] * 200 + [(None, None)] * 100
+    got = packing.pack(docs(spark, texts), tokenizer_path(), 64).collect()
+    places = [(r.sequence_id, r.offset + i) for r in got for i in range(r.length)]
+    assert len(places) == len(set(places)) == sum(r.doc_tokens for r in got if r.start == 0)
+    assert len(set(s for s, _ in places)) == -(-len(places) // 64)
