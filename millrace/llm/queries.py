@@ -93,16 +93,16 @@ ORACLES = {
         SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, least(s.doc_id, coalesce(m, s.doc_id)) AS component_id, least(s.doc_id, coalesce(m, s.doc_id)) = s.doc_id AS kept
         FROM s LEFT JOIN low ON low.a = s.doc_id""",
     "op6_line_dedup": r"""
-        WITH lines AS (
-          SELECT doc_id, i, line,
+        WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+        lines AS (
+          SELECT r, doc_id, i, line,
                  translate(regexp_replace(regexp_replace(line, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', ''),
                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
-          FROM (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
-                FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)) s),
-        common AS (SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT doc_id) >= 10)
-        SELECT l.doc_id, count(*)::BIGINT AS n_lines,
+          FROM (SELECT r, doc_id, unnest(l) AS line, unnest(range(len(l))) AS i FROM d) s),
+        common AS (SELECT k FROM lines WHERE length(k) >= 1 GROUP BY k HAVING count(DISTINCT r) >= 10)
+        SELECT any_value(l.doc_id) AS doc_id, count(*)::BIGINT AS n_lines,
                count(c.k)::BIGINT AS n_dropped,
                sha256(coalesce(string_agg(l.line, chr(10) ORDER BY l.i) FILTER (WHERE c.k IS NULL), '')) AS kept_sha256
         FROM lines l LEFT JOIN common c ON l.k = c.k
-        GROUP BY l.doc_id""",
+        GROUP BY l.r""",
 }
