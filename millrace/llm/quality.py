@@ -15,14 +15,13 @@ kept by `keep_good`.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from millrace.llm.scoring import accepted, scored, training_rows
+from millrace.llm.scoring import accepted, in_order, scored, training_rows
 
 FEATURES = (
     "log_chars", "upper", "digit", "space", "newline", "stop_marks", "bang", "symbols", "bars", "brackets", "slashes", "quotes", "other_ascii", "non_ascii", "control",
@@ -42,7 +41,8 @@ _MASKS = np.array(
         _mask("/\\_="), _mask("\"'`"), _mask("+-"), (np.arange(256) >= 128).astype(float), (np.arange(256) < 9).astype(float),
     ]
 )
-_END = re.compile(r"[.!?:;\"')]\s*$")
+#: What a finished line ends in, blanks aside.
+_ENDS = tuple(".!?:;\"')")
 
 
 def features(text: str) -> np.ndarray:
@@ -63,7 +63,7 @@ def features(text: str) -> np.ndarray:
             np.log1p(len(text)), *share,
             sizes.mean(), (sizes > 14).mean(), (sizes <= 3).mean(), len(seen) / n, max(seen.values(), default=0) / n,
             len(words) / m, len(same) / m, max(same.values(), default=0) / m,
-            sum(bool(_END.search(x[-8:])) for x in lines) / m, sum(w[0].isupper() for w in words) / n, len(pairs) / max(1, len(words) - 1),
+            sum(x.rstrip().endswith(_ENDS) for x in lines) / m, sum(w[0].isupper() for w in words) / n, len(pairs) / max(1, len(words) - 1),
         ]
     )
 
@@ -170,9 +170,8 @@ def fit(x: np.ndarray, y: np.ndarray, bins: int = 48, rounds: int = 120, rate: f
 
 
 def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, modulus: int = 5, held_out: int = 0) -> Model:
-    rows = training_rows(docs, labels, "quality", modulus, held_out, max_train, features, "<f8")
-    x = np.array([r[0] for r in rows]).reshape(-1, len(FEATURES))
-    return fit(x, np.array([r[1] for r in rows], float))
+    rows = in_order(training_rows(docs, labels, "quality", modulus, held_out, max_train, features, "double"))  # a few numbers a row
+    return fit(np.array([r.f for r in rows]).reshape(-1, len(FEATURES)), np.array([r.y for r in rows], float))
 
 
 def _scorer(docs: DataFrame, model: Model):

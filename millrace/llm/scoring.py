@@ -10,26 +10,33 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import labelled_sample
+from millrace.llm.common import labelled_sample, materialise
 
 SCORED = "doc_id long, held_out boolean, score double, predicted int"
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, most: int, features: Callable, kind: str) -> list[tuple]:
-    """(features, y) of at most `most` labelled documents outside the held-out fold.
+def training_rows(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held_out: int, most: int, features: Callable, kind: str) -> DataFrame:
+    """(doc_id, y, f), written: y (0 or 1) and features, an array of `kind`, of at most `most` labelled documents outside the held-out fold.
 
-    The sample's ids (12 bytes each, `most` rows) are broadcast; only features come back.
+    The sample's ids (12 bytes each, `most` rows) are broadcast. Of several texts of one id one is learned from.
     """
     sample = F.broadcast(labelled_sample(labels, label, modulus, held_out, most))
     found = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(sample, "doc_id").select("doc_id", "y", "text")
+    item = {"int": pa.int32(), "double": pa.float64()}[kind]
 
     def extract(it):
         for rb in it:
-            f = [features(t or "").tobytes() for t in rb.column(2).to_pylist()]
-            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(f, pa.binary())], names=["doc_id", "y", "f"])
+            f = [features(t or "") for t in rb.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(f, pa.list_(item))], names=["doc_id", "y", "f"])
 
-    rows = found.mapInArrow(extract, "doc_id long, y int, f binary").orderBy(F.xxhash64("doc_id"), "doc_id", "f").limit(most).collect()
-    return [(np.frombuffer(r.f, kind), int(r.y > 0)) for r in rows]
+    rows = found.mapInArrow(extract, f"doc_id long, y int, f array<{kind}>")
+    one = rows.groupBy("doc_id").agg((F.max("y") > 0).cast("int").alias("y"), F.min_by("f", F.xxhash64("f")).alias("f"))
+    return materialise(one, "training")
+
+
+def in_order(rows: DataFrame) -> list:
+    """The rows, on the driver, in the same order every time."""
+    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
 
 
 def scored(docs: DataFrame, score: Callable, modulus: int, held_out: int, threshold: float) -> DataFrame:
