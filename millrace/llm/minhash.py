@@ -308,7 +308,8 @@ def near_duplicates(
     of_class = classes.select("set_key", "id").join(linked, F.col("id") == F.col("node"), "left")
     of_class = of_class.select("set_key", F.coalesce("component", "id").alias("component_id"))
     out = sketches.select("doc_id", "n_shingles", "set_key").join(of_class, "set_key", "left")
-    out = out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    # A null id stays alone, whatever its text.
+    out = out.withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 

@@ -91,3 +91,10 @@ def test_connected_components_of_chains_and_stars(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_a_null_id_stays_alone_whatever_its_text(spark):
+    rows = [(3, "a b c d e f"), (9, "a b c d e f"), (None, "a b c d e f"), (None, "other")]
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs(spark, rows), k=3, num=85).collect()}
+    assert got == {(3, 3, True), (9, 3, False), (None, None, True)}
+    assert minhash.drop_near_duplicates(docs(spark, rows), k=3, num=85).count() == 3
