@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millrace.llm.common import materialise
+from millrace.llm.common import materialise, own_prefix
 
 #: Intervals of the order hash, as bits.
 BITS = 10
@@ -135,17 +135,24 @@ def cutoffs(placed: DataFrame, mix: Mixture) -> DataFrame:
     return leaves.select(*LEAF, "whole").join(ends, LEAF, "left")
 
 
-def mixed(docs: DataFrame, mix: Mixture = PRODUCTION) -> DataFrame:
-    """docs with `epochs_read`, how often a document is read, without those never read."""
+def _with_reads(docs: DataFrame, mix: Mixture) -> tuple[DataFrame, str]:
+    """docs, and one more column that none of docs' clashes with: how often a document is read, 1 or more."""
     placed = materialise(_placed(docs, mix), "placed")
     ends = materialise(cutoffs(placed, mix), "cutoffs")
-    named = ends.select(*[F.col(c).alias(f"_mix_{c}") for c in ends.columns])
-    d, lang, source = _leaf(mix)
-    own = docs.withColumns({"_at_domain": d, "_at_language": lang, "_at_origin": source})
-    own = own.join(F.broadcast(named), [F.col(f"_at_{c}") == F.col(f"_mix_{c}") for c in LEAF])
-    u = _order(F.col("doc_id").cast("long"), F.col("_mix_whole") + 1, mix.seed)
-    times = F.col("_mix_whole") + F.when(u <= F.col("_mix_cutoff"), 1).otherwise(0)
-    return own.select(*[docs[c] for c in docs.columns], times.cast("long").alias("epochs_read")).filter("epochs_read > 0")
+    x = own_prefix(docs.columns)
+    named = ends.select(*[F.col(c).alias(f"{x}of_{c}") for c in ends.columns])
+    own = docs.withColumns({f"{x}{c}": v for c, v in zip(LEAF, _leaf(mix), strict=True)})
+    own = own.join(F.broadcast(named), [F.col(f"{x}{c}") == F.col(f"{x}of_{c}") for c in LEAF])
+    u = _order(F.col("doc_id").cast("long"), F.col(f"{x}of_whole") + 1, mix.seed)
+    times = F.col(f"{x}of_whole") + F.when(u <= F.col(f"{x}of_cutoff"), 1).otherwise(0)
+    own = own.withColumn(f"{x}reads", times.cast("long")).filter(F.col(f"{x}reads") > 0)
+    return own.select(*[F.col(f"`{c}`") for c in docs.columns], f"{x}reads"), f"{x}reads"
+
+
+def mixed(docs: DataFrame, mix: Mixture = PRODUCTION) -> DataFrame:
+    """docs with `epochs_read` (in place of a column of that name), how often a document is read, without those never read."""
+    own, reads = _with_reads(docs.drop("epochs_read"), mix)
+    return own.withColumnRenamed(reads, "epochs_read")
 
 
 def mix_report(docs: DataFrame, mix: Mixture) -> DataFrame:
@@ -157,7 +164,7 @@ def mix_report(docs: DataFrame, mix: Mixture) -> DataFrame:
 
 def take(docs: DataFrame, mix: Mixture = PRODUCTION) -> DataFrame:
     """docs as the mixture reads them, in docs' own columns: a document read n times stands n times."""
-    chosen = mixed(docs, mix)
+    chosen, reads = _with_reads(docs, mix)
     if mix.epochs > 1:
-        chosen = chosen.withColumn("epochs_read", F.explode(F.sequence(F.lit(1), F.col("epochs_read"))))
-    return chosen.select(*[chosen[c] for c in docs.columns])
+        chosen = chosen.withColumn(reads, F.explode(F.sequence(F.lit(1), F.col(reads).cast("int"))))
+    return chosen.drop(reads)
