@@ -23,7 +23,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that stand in ten documents or more go; n_chars follows the text."""
-    kept = line_dedup.drop_common_lines(docs, threshold=10)
+    kept = line_dedup.drop_common_lines(docs, threshold=10, report=False)
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
 
 
