@@ -12,8 +12,8 @@
    arithmetic on ranks, so no document list is ever gathered.
 5. Only residuals that a window boundary cuts are tokenised again, for their pieces' checksums.
 
-Ranks come from the places of rows in the written lengths (file and row number), counted in blocks of
-`BLOCK` rows; so no length and no repeated row meets in one task, and a lost task gives the same ranks again.
+Ranks go by rest, hash slice and id, so they are the same in every run. Equal rows (of one id and one text) are counted, not listed, until
+they are placed, and slices grow in number with the table: no length and no repeated row meets in one task.
 
 A text that contains an added token's content, such as `<|endoftext|>`, takes its id there, as the library does by default.
 
@@ -35,8 +35,10 @@ from pyspark.sql.window import Window
 
 from millrace.llm.common import materialise
 
-#: Rows of one file are ranked in blocks of so many.
-BLOCK = 65_536
+#: Rows of one length are ranked in slices, one for so many rows of the table, and never fewer than SLICES.
+SLICE_ROWS, SLICES = 500_000, 64
+#: Equal rows are placed in parts of so many.
+COPIES = 10_000
 #: Cut pieces of at most so many rows (32 bytes each) are broadcast to the texts; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 _CODERS: dict[str, Coder] = {}
@@ -248,28 +250,28 @@ def measured(docs: DataFrame, path: str, end: int, window: int) -> DataFrame:
     )
 
 
-def ranked(lens: DataFrame, window: int) -> DataFrame:
-    """lens (read from files) with rest, rank (among rows of this rest, from 0) and before (full windows of all rows ordered before).
-
-    Rows are in order of rest, file, and place in the file.
-    """
-    names = lens.columns
-    lens = lens.withColumns(
-        {"rest": F.pmod("tokens", F.lit(window)), "full": F.size("crcs").cast("long"), "file": F.xxhash64(F.col("_metadata.file_path")), "place": F.col("_metadata.row_index")}
-    ).withColumn("block", F.expr(f"place div {BLOCK}"))
-    group = ["rest", "file", "block"]
-    parts = lens.groupBy(*group).agg(F.count(F.lit(1)).alias("n"), F.sum("full").alias("f"))
+def ranked(lens: DataFrame, window: int, rows: int) -> DataFrame:
+    """A row for up to COPIES equal rows of lens, with copies, rest, rank (of the first copy, among rows of this rest, from 0) and before (full windows of all rows ordered before)."""
+    names = ["tokens", "crcs", "rest_crc"]
+    same = lens.groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"), *[F.first(c).alias(c) for c in names])
+    same = same.withColumn("rest", F.pmod("tokens", F.lit(window))).withColumn("full", F.size("crcs").cast("long"))
+    same = same.withColumn("slice", F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(max(SLICES, rows // SLICE_ROWS))))
+    parts = same.groupBy("rest", "slice").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("full")).alias("f"))
     rests = parts.groupBy("rest").agg(F.sum("f").alias("rf"))
-    by_rest = Window.partitionBy("rest").orderBy("file", "block").rowsBetween(Window.unboundedPreceding, -1)
+    by_rest = Window.partitionBy("rest").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     over = Window.orderBy("rest").rowsBetween(Window.unboundedPreceding, -1)
-    # At most `window` rows meet in one task here, and below one row a block of BLOCK, however many documents there are.
+    # At most `window` rows meet in one task here, and below one a slice, however many documents there are.
     rests = rests.select("rest", F.coalesce(F.sum("rf").over(over), F.lit(0)).alias("f_rest"))
-    parts = parts.select(*group, F.coalesce(F.sum("n").over(by_rest), F.lit(0)).alias("n_before"), F.coalesce(F.sum("f").over(by_rest), F.lit(0)).alias("f_before"))
+    parts = parts.select("rest", "slice", F.coalesce(F.sum("n").over(by_rest), F.lit(0)).alias("n_before"), F.coalesce(F.sum("f").over(by_rest), F.lit(0)).alias("f_before"))
     offsets = parts.join(F.broadcast(rests), "rest")
-    own = Window.partitionBy(*group).orderBy("place")
-    out = lens.withColumn("_r", F.row_number().over(own) - 1).withColumn("_f", F.sum("full").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("full"))
-    out = out.join(offsets, group)
-    return out.select(*names, "rest", (F.col("n_before") + F.col("_r")).alias("rank"), (F.col("f_rest") + F.col("f_before") + F.col("_f")).alias("before"))
+    own = Window.partitionBy("rest", "slice").orderBy("doc_id", "text_key").rowsBetween(Window.unboundedPreceding, 0)
+    out = same.withColumn("_r", F.sum("n").over(own) - F.col("n")).withColumn("_f", F.sum(F.col("n") * F.col("full")).over(own) - F.col("n") * F.col("full"))
+    out = out.join(offsets, ["rest", "slice"])
+    out = out.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(COPIES).cast("long"))))
+    return out.select(
+        "doc_id", "text_key", *names, "rest", (F.col("n_before") + F.col("_r") + F.col("at")).alias("rank"),
+        (F.col("f_rest") + F.col("f_before") + F.col("_f") + F.col("at") * F.col("full")).alias("before"), F.least(F.col("n") - F.col("at"), F.lit(COPIES)).alias("copies"),
+    )
 
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, text_key long"
@@ -281,34 +283,47 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end: int = 1) -> DataFr
     hist = np.zeros(window, np.int64)
     for r in lens.groupBy(F.pmod("tokens", F.lit(window)).alias("rest")).count().collect():  # at most `window` rows
         hist[r["rest"]] = r["count"]
+    total = int(hist.sum())
     full = lens.agg(F.coalesce(F.sum(F.size("crcs")), F.lit(0)).cast("long")).first()[0]
     # Its slots are bounded by the window: at most 24 triples a length, the pairs, and the greedy ones (a length each).
     held = lens.sparkSession.sparkContext.broadcast(plan(hist, window))
 
+    def placed(p: Plan, starts: np.ndarray, doc, key, tokens, crcs, rest_crc, rest: int, rank: int, before: int) -> list[tuple]:
+        rows = [(doc, window * i, window, c, tokens, before + i, 0, key) for i, c in enumerate(crcs)]
+        at = window * len(crcs)
+        if not rest:
+            return rows
+        if rank < p.taken[rest]:
+            i = starts[rest] + int(np.searchsorted(p.hi[starts[rest] : starts[rest + 1]], rank, "right"))
+            rows.append((doc, at, rest, rest_crc, tokens, full + int(p.first[i]) + rank - int(p.lo[i]), int(p.offset[i]), key))
+            return rows
+        pos, left = int(p.residual_start[rest]) + (rank - int(p.taken[rest])) * rest, rest
+        whole = pos // window == (pos + rest - 1) // window
+        while left:
+            n = min(left, window - pos % window)
+            rows.append((doc, at, n, rest_crc if whole else None, tokens, full + p.sequences + pos // window, pos % window, key))
+            at, pos, left = at + n, pos + n, left - n
+        return rows
+
+    def told(rows: list) -> pa.RecordBatch:
+        cols = list(zip(*rows, strict=True)) or [[]] * 8
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[x.split()[0] for x in PIECES.split(", ")])
+
     def place(it):
         p = held.value
         starts = np.searchsorted(p.length, np.arange(window + 1))
         for rb in it:
-            rows = []
-            for doc, key, tokens, crcs, rest_crc, rest, rank, before in zip(*(rb.column(i).to_pylist() for i in range(8)), strict=True):
-                rows += [(doc, window * i, window, c, tokens, before + i, 0, key) for i, c in enumerate(crcs)]
-                at = window * len(crcs)
-                if not rest:
-                    continue
-                if rank < p.taken[rest]:
-                    i = starts[rest] + int(np.searchsorted(p.hi[starts[rest] : starts[rest + 1]], rank, "right"))
-                    rows.append((doc, at, rest, rest_crc, tokens, full + int(p.first[i]) + rank - int(p.lo[i]), int(p.offset[i]), key))
-                    continue
-                pos, left = int(p.residual_start[rest]) + (rank - int(p.taken[rest])) * rest, rest
-                whole = pos // window == (pos + rest - 1) // window
-                while left:
-                    n = min(left, window - pos % window)
-                    rows.append((doc, at, n, rest_crc if whole else None, tokens, full + p.sequences + pos // window, pos % window, key))
-                    at, pos, left = at + n, pos + n, left - n
-            cols = list(zip(*rows, strict=True)) or [[]] * 8
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=[x.split()[0] for x in PIECES.split(", ")])
-
-    wanted = ranked(lens, window).select("doc_id", "text_key", "tokens", "crcs", "rest_crc", "rest", "rank", "before")
+            rows: list = []
+            for *own, crcs, rest_crc, rest, rank, before, copies in zip(*(rb.column(i).to_pylist() for i in range(9)), strict=True):
+                for i in range(copies):
+                    rows += placed(p, starts, *own, crcs, rest_crc, rest, rank + i, before + i * len(crcs))
+                    if len(rows) > COPIES:
+                        yield told(rows)
+                        rows = []
+            yield told(rows)
+
+    # Parts of equal rows go apart.
+    wanted = ranked(lens, window, total).repartition("rest", F.expr(f"rank div {COPIES}"))
     pieces = materialise(wanted.mapInArrow(place, PIECES), "pieces")
     cut = pieces.filter("ids_crc32 is null").select("doc_id", "text_key", "start", "length").distinct()
 

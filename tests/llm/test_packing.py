@@ -100,7 +100,7 @@ def test_greedy_fills_windows_exactly():
 
 
 def test_repeated_rows_are_ranked_apart(spark, monkeypatch):
-    monkeypatch.setattr(packing, "BLOCK", 16)
+    monkeypatch.setattr(packing, "COPIES", 16)
     texts = [(7, "the same text")] * 200 + [(None, None)] * 100
     got = packing.pack(docs(spark, texts), tokenizer_path(), 64).collect()
     places = [(r.sequence_id, r.offset + i) for r in got for i in range(r.length)]

@@ -8,6 +8,8 @@ corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
 from millrace.llm import mixing, quality  # noqa: E402
 from millrace.llm.queries import tokenizer_path  # noqa: E402
+from tests.llm.helpers import AWKWARD  # noqa: E402
+from tests.llm.helpers import docs as awkward_docs  # noqa: E402
 from tests.llm.test_line_dedup import WS  # noqa: E402
 from tests.llm.test_minhash import brute as near_brute  # noqa: E402
 from tests.llm.test_mixing import brute as mix_brute  # noqa: E402
@@ -55,3 +57,38 @@ def test_stages_and_run_match_brute_force(spark, sf_dir):
     whole = corpus_pipeline.run(spark, sf_dir).collect()
     assert sorted(map(tuple, whole)) == sorted(map(tuple, at.collect()))
     assert [k for k, _ in corpus_pipeline.STAGES] == ["quality classifier", "line dedup", "minhash near-dedup", "source mixing", "packing"]
+
+
+CLASH = ("_bad", "n_lines", "N_DROPPED", "kept_sha256", "_id", "key", "_own_id", "_own_reads", "_mix_whole", "_at_domain", "epochs_read", "set_key", "component_id", "kept", "score", "predicted", "node", "f", "y")
+HELD = [(70 + i, f"A line that many share\nown words of row {i} here\n") for i in range(12)]
+
+
+def awkward(spark, rows):
+    from pyspark.sql import functions as F
+
+    return awkward_docs(spark, rows).withColumns({c: F.lit(f"own {c}") for c in CLASH})
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_awkward_rows(spark, sf_dir, name, stage):
+    rows = AWKWARD + HELD + HELD[:3]
+    df = awkward(spark, rows)
+    out = stage(spark, df, sf_dir)
+    got = out.collect()
+    if name == "packing":
+        assert {r.doc_id for r in got} == {i for i, _ in rows}
+    else:
+        assert out.columns == df.columns and [f.dataType for f in out.schema] == [f.dataType for f in df.schema]
+        assert all(r[c] == f"own {c}" for r in got for c in CLASH)
+        texts = collections.Counter((i, t or "") for i, t in rows)
+        if name == "line dedup":
+            want = collections.Counter((i, "\n".join(x for x in (t or "").split("\n") if x != "A line that many share")) for i, t in rows)
+            assert collections.Counter((r.doc_id, r.text or "") for r in got) == want
+        else:
+            assert not collections.Counter((r.doc_id, r.text or "") for r in got) - texts
+        if name == "minhash near-dedup":
+            kept = {r.doc_id for r in got}
+            assert {1, 2, 3, 7, None} <= kept and 8 not in kept  # 7 and 8 are equal
+    # Without rows, and without labels that any row has.
+    empty = stage(spark, awkward(spark, []), sf_dir)
+    assert empty.count() == 0 and (name == "packing" or empty.columns == df.columns)
