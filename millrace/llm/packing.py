@@ -323,7 +323,7 @@ def pack(docs: DataFrame, path: str, window: int = 2048, end: int = 1) -> DataFr
             yield told(rows)
 
     # Parts of equal rows go apart.
-    wanted = ranked(lens, window, total).repartition("rest", F.expr(f"rank div {COPIES}"))
+    wanted = ranked(lens, window, total).repartition("rest", F.expr("rank div 100"))
     pieces = materialise(wanted.mapInArrow(place, PIECES), "pieces")
     cut = pieces.filter("ids_crc32 is null").select("doc_id", "text_key", "start", "length").distinct()
 

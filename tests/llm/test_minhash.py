@@ -45,10 +45,11 @@ def near_copies(seed=3, groups=6, size=9):
     return out
 
 
-@pytest.mark.parametrize("k,num,block", [(3, 85, 1000), (5, 80, 4)])
-def test_components_match_brute_force(spark, k, num, block):
+@pytest.mark.parametrize("k,num,block,table_rows,lot", [(3, 85, 1000, 2000, 500), (5, 80, 4, 3, 2)])
+def test_components_match_brute_force(spark, k, num, block, table_rows, lot, monkeypatch):
+    monkeypatch.setattr(minhash, "LOT", lot)
     rows = [r for r in AWKWARD if r[0] != 8] + near_copies() + [(5000, "the of and"), (5001, "One")]
-    got = minhash.near_duplicates(docs(spark, rows), k=k, num=num, den=100, block=block).collect()
+    got = minhash.near_duplicates(docs(spark, rows), k=k, num=num, den=100, block=block, table_rows=table_rows).collect()
     want = brute(rows, k, num, 100)
     assert len(got) == len(rows)
     for r in got:
@@ -98,3 +99,25 @@ def test_a_null_id_stays_alone_whatever_its_text(spark):
     got = {(r.doc_id, r.component_id, r.kept) for r in minhash.near_duplicates(docs(spark, rows), k=3, num=85).collect()}
     assert got == {(3, 3, True), (9, 3, False), (None, None, True)}
     assert minhash.drop_near_duplicates(docs(spark, rows), k=3, num=85).count() == 3
+
+
+def chained(n=60, length=50, seed=5):
+    """Texts that each are like the ones beside them, and less and less like those further on."""
+    rng = random.Random(seed)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+    out = []
+    for i in range(n):
+        out.append((2000 + i, " ".join(words)))
+        words[rng.randrange(length)] = f"y{rng.randrange(10**6)}"
+    return out
+
+
+def test_chains_of_copies_match_brute_force_in_cut_tables_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "LOT", 3)
+    rows = chained() + [(9000 + i, f"{t} and one more") for i, (_, t) in enumerate(chained(12))]
+    rows += [(3000 + i, t) for i, (_, t) in enumerate(chained(30, 20, 6))] + [(4000 + 2 * i, t) for i, (_, t) in enumerate(chained(30, 44, 7)[::2])]
+    want = brute(rows, 3, 85, 100)
+    assert 1 < len(set(want.values())) < len(want)
+    for block, table_rows in ((6, 5), (300, 2000)):
+        got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs(spark, rows), k=3, num=85, block=block, table_rows=table_rows).collect()}
+        assert got == want
