@@ -1,15 +1,16 @@
 """SpotSigs document fingerprints.
 
-A signature is a common-word anchor with the `chain` content words that follow it. A text's
+A signature is a common-word anchor with the `chain` content words that follow it (fewer at the text's end). Where no anchor
+stands among the last `reach` words, or none has come yet, every content word is its own anchor; so texts of any language
+tell apart, by one rule for every place of every text. A text's
 fingerprint is the sorted set of its signatures' 64-bit hashes, in base64 after the set's size;
 fingerprints are partitioned by size and compared through a Jaccard that gives up where sizes or
-the remaining signatures cannot reach the wanted likeness any more. A text with fewer than
-`few` signatures takes chains from every word, so that texts without anchors tell apart too.
+the remaining signatures cannot reach the wanted likeness any more.
 
 Defined cases: null text is empty; a text without words has the fingerprint "0:" and likeness 1
 to another such text, 0 to others; equal texts have equal fingerprints; the next document of
 the last is the first, and of the only one itself; repeated ids follow each other in order of
-their texts; a null doc_id comes after all others; extra columns are ignored.
+their texts' hashes, and are cut into buckets by these; a null doc_id comes after all others; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,23 +37,23 @@ ANCHORS = frozenset(
 _WORD = re.compile(r"\w+").findall
 
 
-def signatures(text: str, chain: int = 2, few: int = 3, anchors: frozenset = ANCHORS) -> np.ndarray:
+def signatures(text: str, chain: int = 2, reach: int = 8, anchors: frozenset = ANCHORS) -> np.ndarray:
     """The sorted distinct 64-bit hashes of the text's spot signatures."""
-    words = _WORD(text.lower())
-    content, spots = [], []
-    for w in words:
+    content, spots, since = [], [], reach
+    for w in _WORD(text.lower()):
         if w in anchors:
             spots.append((w, len(content)))
+            since = 0
         else:
+            if since >= reach:
+                spots.append((w, len(content) + 1))
             content.append(w)
-    n = len(content)
-    found = {f"{w} {' '.join(content[i : i + chain])}" for w, i in spots if i + chain <= n}
-    if len(found) < few:
-        found = {" ".join(words[i : i + chain + 1]) for i in range(max(1, len(words) - chain))} if words else set()
-    if not found:
+            since += 1
+    if not spots:
         return np.empty(0, np.uint64)
     import xxhash
 
+    found = {" ".join((w, *content[i : i + chain])) for w, i in spots}
     return np.unique(np.fromiter((xxhash.xxh3_64_intdigest(s) for s in found), np.uint64, len(found)))
 
 
@@ -92,10 +93,10 @@ FINGERPRINTED = "doc_id long, n_chars long, edited_sha256 string, fingerprint st
 
 
 def _in_order(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, order, halo) in buckets of consecutive ids, sorted downwards inside each partition.
+    """(doc_id, text, bucket, halo) in buckets of consecutive ids, sorted downwards inside each partition.
 
-    The bounds of the buckets are quantiles of all ids (eight a shuffle partition at most). The
-    first row of a bucket is sent along to the bucket before it as its last, a halo; so each
+    The bounds of the buckets are quantiles of all ids (eight a shuffle partition at most); an id that fills whole
+    buckets is cut by its texts' hashes. The first row of a bucket is sent along to the bucket before it as its last, a halo; so each
     row's next row is beside it, and the texts are shuffled once.
     """
     spark = docs.sparkSession
@@ -103,34 +104,40 @@ def _in_order(docs: DataFrame) -> DataFrame:
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # Null ids come last, below every other id.
     d = d.withColumn("at", F.coalesce(F.col("doc_id").cast("double"), F.lit(-1.7e308)))
-    ids = d.select("at")
-    bounds = ids.agg(F.percentile_approx("at", F.lit([i / (8 * parts) for i in range(1, 8 * parts)]), 100_000)).first()[0] or []
+    bounds = d.agg(F.percentile_approx("at", F.lit([i / (8 * parts) for i in range(1, 8 * parts)]), 100_000)).first()[0] or []
     splits = [-float("inf"), *sorted(set(bounds)), float("inf")]
     if len(splits) < 3:
         splits = [-float("inf"), 0.0, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="at", outputCol="bucket")
-    with_bucket = bucketed.transform(d).withColumn("bucket", F.col("bucket").cast("int"))
-    tops = bucketed.transform(ids).groupBy(F.col("bucket").cast("int").alias("bucket")).agg(F.max("at").alias("top")).orderBy("bucket").collect()
+    # Such an id is the lower bound of its bucket: its own cuts come first there, then the ids above it.
+    times = {b: bounds.count(b) for b in set(bounds)}
+    hot = spark.createDataFrame([(float(b), n) for b, n in times.items() if n > 1], "_hot double, _cuts int")  # fewer rows than bounds
+    bucketed = Bucketizer(splits=splits, inputCol="at", outputCol="range").transform(d.withColumn("hash", F.xxhash64("text")))
+    bucketed = bucketed.join(F.broadcast(hot), F.col("at") == F.col("_hot"), "left")
+    cut = F.least(F.floor((F.col("hash") / F.lit(2.0**64) + 0.5) * F.col("_cuts")), F.col("_cuts") - 1)
+    bucketed = bucketed.withColumn("cut", F.coalesce(cut.cast("int"), F.lit(1_000_000))).drop("_hot", "_cuts")
+    head = F.max(F.struct("at", "hash")).alias("top")
+    tops = bucketed.groupBy("range", "cut").agg(head).orderBy("range", "cut").collect()  # one row a bucket
     if not tops:
-        return with_bucket.select("doc_id", "text", "bucket", F.lit(False).alias("halo"))
+        return bucketed.select("doc_id", "text", F.lit(0).alias("bucket"), F.lit(False).alias("halo"))
     # The head of each bucket goes to the bucket above it, the head of all to the lowest.
-    above = {a.bucket: b.bucket for a, b in zip(tops, tops[1:], strict=False)} | {tops[-1].bucket: tops[0].bucket}
-    # One row a bucket.
-    heads = spark.createDataFrame([(t.bucket, t.top, above[t.bucket]) for t in tops], "bucket int, _top double, _above int")
-    rows = with_bucket.join(F.broadcast(heads), "bucket")
+    rows = [(t["range"], t["cut"], i, t.top.at, t.top.hash, (i + 1) % len(tops)) for i, t in enumerate(tops)]
+    heads = spark.createDataFrame(rows, "range double, cut int, bucket int, _at double, _hash long, _above int")
+    rows = bucketed.join(F.broadcast(heads), ["range", "cut"])
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("halo"))
     also = F.struct(F.col("_above").alias("bucket"), F.lit(True).alias("halo"))
-    rows = rows.withColumn("_to", F.explode(F.when(F.col("at") == F.col("_top"), F.array(own, also)).otherwise(F.array(own))))
-    rows = rows.select("doc_id", "text", "_to.bucket", "_to.halo")
-    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "halo", F.desc_nulls_last("doc_id"), "text")
+    is_head = (F.col("at") == F.col("_at")) & (F.col("hash") == F.col("_hash"))
+    rows = rows.withColumn("_to", F.explode(F.when(is_head, F.array(own, also)).otherwise(F.array(own))))
+    rows = rows.select("doc_id", "text", "hash", "_to.bucket", "_to.halo")
+    # A halo is the next bucket's first row, so the last one here.
+    return rows.repartition(parts, "bucket").sortWithinPartitions("bucket", "halo", F.desc_nulls_last("doc_id"), F.desc("hash"), "text")
 
 
-def fingerprints(docs: DataFrame, chain: int = 2, few: int = 3) -> DataFrame:
+def fingerprints(docs: DataFrame, chain: int = 2, reach: int = 8) -> DataFrame:
     """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
 
     def rows(doc, text, nxt, own, after) -> tuple:
         changed = _edited(text, nxt)
-        e = signatures(changed, chain, few) if changed != text else own
+        e = signatures(changed, chain, reach) if changed != text else own
         return doc, len(text), hashlib.sha256(changed.encode()).hexdigest(), fingerprint(own), fingerprint(e), likeness(own, e), likeness(own, after)
 
     def run(it):
@@ -142,7 +149,7 @@ def fingerprints(docs: DataFrame, chain: int = 2, few: int = 3) -> DataFrame:
                 if bucket == done:
                     continue
                 text = text or ""
-                own = signatures(text, chain, few)
+                own = signatures(text, chain, reach)
                 if held is not None and held[3] == bucket:
                     out.append(rows(held[0], held[1], text, held[2], own))
                 if halo:
@@ -156,7 +163,7 @@ def fingerprints(docs: DataFrame, chain: int = 2, few: int = 3) -> DataFrame:
     return _in_order(docs).select("doc_id", "text", "bucket", "halo").mapInArrow(run, FINGERPRINTED)
 
 
-def near_pairs(docs: DataFrame, wanted: float = 0.8, chain: int = 2, few: int = 3) -> DataFrame:
+def near_pairs(docs: DataFrame, wanted: float = 0.8, chain: int = 2, reach: int = 8) -> DataFrame:
     """(a, b, likeness) of the pairs of distinct fingerprints at least `wanted` alike, by the smallest id of each.
 
     Candidates share one of the first signatures of their sets (as many as a pair of this likeness must
@@ -167,7 +174,7 @@ def near_pairs(docs: DataFrame, wanted: float = 0.8, chain: int = 2, few: int =
         for rb in it:
             ids, classes, sigs, fps = [], [], [], []
             for doc, text in zip(rb.column(0).to_pylist(), rb.column(1).to_pylist(), strict=True):
-                s = signatures(text or "", chain, few)
+                s = signatures(text or "", chain, reach)
                 keep = s[: len(s) - int(np.ceil(wanted * len(s))) + 1] if len(s) else s
                 ids.append(doc), classes.append(size_class(len(s), wanted)), sigs.append(keep.astype(np.int64)), fps.append(fingerprint(s))
             yield pa.RecordBatch.from_arrays(
