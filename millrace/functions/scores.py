@@ -343,3 +343,8 @@ def _metrics(x: Column, n: Column, w: Column) -> Column:
 def structural_distance(a: Column, b: Column, weights: dict[str, float]) -> Column:
     """Weighted sum of |a - b| / max(|a|, |b|, 1)."""
     return sum((F.abs(a[k] - b[k]) / F.greatest(F.abs(a[k]), F.abs(b[k]), F.lit(1.0)) * w for k, w in weights.items()), F.lit(0.0))
+
+
+def narrative(x: Column | str) -> Column:
+    """X103."""
+    return content_type(x) == "NARRATIVE"

@@ -261,3 +261,20 @@ def strip_html_topics(x: Column | str) -> Column:
     for pattern in (r"\[\^\d+\]:?", r"(?m)^#+\s.*$", r"(?m)^-{3,}$"):
         t = F.regexp_replace(t, pattern, "")
     return t
+
+
+#: Ends of words that end no sentence (fixed values).
+ABBREVIATIONS = "Mr. Mrs. Ms. Dr. Prof. Sr. Jr. St. vs. etc. viz. al. eg. ie. cf. No. Vol. Ch. Fig. Eq. approx. dept. est.".split()
+
+
+def guarded_sentences(x: Column | str, least: int = 3) -> Column:
+    """Split before a capital or quote, joined again after abbreviations; sentences of fewer than `least` words go."""
+    known = "|".join(a[:-1] + r"\." for a in ABBREVIATIONS)
+    cut = F.regexp_replace(squeeze(x), r"(?<=[.!?]) (?=[A-Z\"])", "\x01")
+    whole = F.regexp_replace(cut, rf"(?<=^|[ \x01])({known})\x01", "$1 ")
+    return F.filter(F.split(whole, "\x01"), lambda s: word_count(s) >= least)
+
+
+def distribution(tags: Column | str) -> Column:
+    """A map of each tag of an array to its count."""
+    return let(_c(tags), lambda t: F.map_from_entries(F.transform(run_counts(F.sort_array(t)), lambda c: F.struct(c["w"], -c["n"]))))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from millrace.functions.text import _c
+from millrace.functions.text import _c, let
 
 
 def _sum(xs: Column) -> Column:
@@ -37,13 +37,9 @@ def cosine(a: Column | str, b: Column | str) -> Column:
 
 def hash_embedding(text: Column | str, dim: int = 768) -> Column:
     """The bits of the text's sha256, lowest bit of each byte first, zeros after 256, at unit length."""
-    digest = F.sha2(_c(text).cast("binary"), 256)
-    bits = F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda i: F.when(
-            i < 256,
-            F.getbit(F.conv(F.substring(digest, (F.floor(i / 8) * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("long"), (i % 8).cast("int")).cast("double"),
-        ).otherwise(F.lit(0.0)),
-    )
-    n = norm(bits)
-    return F.transform(bits, lambda x: F.when(n > 0, x / n).otherwise(x))
+    own = lambda digest: F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.conv(F.substring(digest, i * 2 + 1, F.lit(2)), 16, 10).cast("long"))
+    place = F.sequence(F.lit(0), F.lit(dim - 1))
+    bits = lambda b: F.transform(place, lambda i: F.when(i < 256, F.getbit(F.get(b, F.shiftright(i, 3)), i % 8).cast("double")).otherwise(F.lit(0.0)))
+    unit = lambda x: let(norm(x), lambda n: F.transform(x, lambda v: F.when(n > 0, v / n).otherwise(v)))
+    # Each step is bound once a row.
+    return let(F.sha2(_c(text).cast("binary"), 256), lambda d: let(own(d), lambda b: let(bits(b), unit)))

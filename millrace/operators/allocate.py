@@ -80,3 +80,9 @@ def sparse(nodes: DataFrame, features: DataFrame, node: str | Sequence[str], thr
 def rollup_counts(df: DataFrame, levels: Sequence[str], value: Column | None = None) -> DataFrame:
     """Counts of each root and node, and of all, in one pass."""
     return df.rollup(*levels).agg(F.count(F.lit(1) if value is None else value).alias("n"))
+
+
+def feature_frequency(trees: DataFrame, features: str = "features", kind: str = "feature_type") -> DataFrame:
+    """A4: how many features of each type all trees hold; a missing type is "unknown"."""
+    rows = trees.select(F.explode(features).alias("_f")).select(F.coalesce(F.col(f"_f.{kind}"), F.lit("unknown")).alias(kind))
+    return rows.groupBy(kind).agg(F.count(F.lit(1)).alias("n"))

@@ -1,10 +1,10 @@
-"""Exact and keyed deduplication, keeping the first in a stated order."""
+"""Exact and keyed deduplication, keeping the first in a stated order, and unions."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -85,3 +85,38 @@ def mine_distinct(df: DataFrame, instruction: str, order: Sequence[str], most: i
 
 def row_numbered(df: DataFrame, within: Sequence[str], order: Sequence[Column | str], name: str = "rn") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(*within).orderBy(*order)))
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """U4: all rows of all parts by column name, a missing column null."""
+    out, *rest = parts
+    for df in rest:
+        out = out.unionByName(df, allowMissingColumns=True)
+    return out
+
+
+def union_shuffled(parts: Sequence[DataFrame], key: str, seed: int = 42) -> DataFrame:
+    """U4 with `place`, the row's place in hash order (O2)."""
+    from millrace.operators.ranks import global_rank, hash_order
+
+    return global_rank(union_all(parts), [hash_order(key, seed), key], "place")
+
+
+def union_existing(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """U4 of the Parquet tables among the paths that exist; an error if none does."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    found = [p for p in paths if (at := jvm.org.apache.hadoop.fs.Path(p)).getFileSystem(conf).exists(at)]
+    if not found:
+        raise FileNotFoundError(", ".join(paths))
+    return union_all([spark.read.parquet(p) for p in found])
+
+
+def process_side(df: DataFrame, side: Column, change: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of the side changed, the others (null counts as other) as they are."""
+    on = F.coalesce(side, F.lit(False))
+    return change(df.filter(on)).unionByName(df.filter(~on))
+
+
+def remaining(df: DataFrame, selected: DataFrame, key: str) -> DataFrame:
+    """U8: the rows that aren't selected."""
+    return df.join(selected.select(key).distinct(), key, "left_anti")

@@ -163,6 +163,7 @@ def _u(seed: int, key: str, i: int) -> float:
     return int(hashlib.md5(f"{seed}:{key}:{i}".encode()).hexdigest()[:8], 16) / 16**8
 
 
+#: Words and what stands for them (fixed values).
 SYNONYMS = {
     "big": ["large", "huge", "great"], "small": ["little", "tiny", "minor"], "old": ["ancient", "aged", "elderly"], "new": ["fresh", "recent", "modern"], "good": ["fine", "nice", "great"],
     "bad": ["poor", "awful", "terrible"], "house": ["building", "home", "dwelling"], "said": ["stated", "spoke", "remarked"], "walked": ["went", "moved", "traveled"],
@@ -179,10 +180,11 @@ def perturbed(text: Column, rate: float = 0.08, bands: Sequence[tuple[str, float
             if t is None:
                 return None
             ws, out, i = t.split(), [], 0
+            key = hashlib.md5(t.encode()).hexdigest()
             while i < len(ws):
                 w = ws[i]
-                if _u(seed, t[:64], 2 * i) < rate:
-                    x, kind = _u(seed, t[:64], 2 * i + 1), ""
+                if _u(seed, key, 2 * i) < rate:
+                    x, kind = _u(seed, key, 2 * i + 1), ""
                     for kind, share in bands:
                         if x < share:
                             break

@@ -96,7 +96,7 @@ def tag_templates(df: DataFrame, tags: str, example: str, order: str, n: int = 1
 def complexity(df: DataFrame, text: str) -> DataFrame:
     """Shares of sentences that open inverted (by list), end long clauses late, and hold a dash."""
     s = df.select(F.explode(sentences(text)).alias("s"))
-    inverted = F.lower("s").rlike(r"^(never|seldom|rarely|nor|neither|here|there|so|such|not only|in|on|from|beneath|beyond|above)\b")
+    inverted = F.lower("s").rlike(r"^(never|seldom|rarely|nor|neither|here|there|so|such|not only|in|on|from|beneath|beyond|above)(?![\p{L}\p{N}_])")
     late = F.coalesce(F.regexp_instr("s", F.lit(",[^,]*$")), F.lit(0)) > F.length("s") * 0.4
     return s.agg(F.avg(inverted.cast("int")).alias("inverted"), F.avg(late.cast("int")).alias("periodic"), F.avg(F.contains("s", F.lit("—")).cast("int")).alias("dashes"))
 

@@ -258,3 +258,15 @@ def content_words(x: Column | str) -> Column:
 def keywords(x: Column | str, n: int = 10) -> Column:
     """The first n distinct content words in order."""
     return F.slice(F.array_distinct(content_words(x)), 1, n)
+
+
+def of_difficulty(df: DataFrame, wanted: Sequence[str], difficulty: str = "difficulty") -> DataFrame:
+    """F19."""
+    return df.filter(F.col(difficulty).isin(*wanted))
+
+
+def text_stems(x: Column | str) -> Column:
+    """The distinct stems of content words, which stand in for nouns and adjectives."""
+    from millrace.functions.text import stem
+
+    return F.array_sort(F.array_distinct(F.transform(content_words(x), stem)))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -116,3 +117,28 @@ def diverse_select(df: DataFrame, cluster: str, quality: str, tokens: str, key:
     ranked = df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= cap).withColumn("_late", (F.col("_rn") > per_cluster).cast("int"))
     out = global_rank(ranked, ["_late", -F.col(quality), key], "_rank", F.col(tokens), "_before")
     return out.filter(F.col("_before") + F.col(tokens) <= target * slack).drop("_rn", "_late", "_rank", "_before")
+
+
+def drawn(df: DataFrame, key: str, weight: str, n: int, seed: int = 42) -> DataFrame:
+    """The distinct rows of n draws with replacement by whole-number weights, so fewer than n where one is drawn twice.
+
+    The i-th draw is a point below the sum of weights; a row is drawn if one lies in its stretch of the running sum by key.
+    """
+    total = df.agg(F.coalesce(F.sum(F.greatest(F.col(weight), F.lit(0))), F.lit(0))).first()[0]
+    if not total:
+        return df.limit(0)
+    points = F.array(*[F.lit(int(hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:8], 16) % total) for i in range(n)])
+    at = global_rank(df, [key], "_rank", F.greatest(F.col(weight), F.lit(0)), "_before")
+    hit = F.exists(points, lambda p: (p >= F.col("_before")) & (p < F.col("_before") + F.greatest(F.col(weight), F.lit(0))))
+    return at.filter(hit).drop("_rank", "_before")
+
+
+def top_similar(df: DataFrame, score: str, key: str, n: int) -> DataFrame:
+    """O3: the n rows of the highest score, by key on ties."""
+    return df.orderBy(F.desc(score), key).limit(n)
+
+
+def robustness(df: DataFrame, kind: str, key: str, original: str = "original", made: str = "robustness", seed: int = 42) -> DataFrame:
+    """All rows, and a third of the originals (rounded down), in hash order, once more as `made`."""
+    own = df.filter(F.col(kind) == original)
+    return df.unionByName(sample(own, key, own.count() // 3, seed).withColumn(kind, F.lit(made)))

@@ -21,6 +21,9 @@ def query(oracle: str | None = None):
     """Register a query under its function's name, with whole numbers as long."""
 
     def add(f):
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries named {f.__name__}")
+
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ship(spark)
             df = f(lambda t: spark.read.parquet(f"{sf_dir}/{t}.parquet"))

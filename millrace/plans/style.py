@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import lexicons as L
 from millrace.functions import scores, text
-from millrace.operators import chunking, joins, models, profile, records
+from millrace.operators import chunking, joins, models, profile, records, sampling
 from millrace.plans import sql as S
 from millrace.plans.records import query
 
@@ -235,9 +235,15 @@ def opening_patterns(t):
     return profile.openings(t("documents"), "text")
 
 
-@query()
+_LISTS = {"certainty": L.CERTAINTY, "hedge": L.HEDGES, "archaic": L.ARCHAIC, "emotional": L.EMOTIONS, "sensory": L.SENSORY, "temporal": L.TEMPORAL_WORDS, "conceptual": L.CONCEPT_WORDS}
+
+
+@query(
+    f"""WITH w AS (SELECT unnest(list_transform({S.words('text')}, lambda w: trim(lower(w), {_TRIM}))) AS word FROM documents), c AS (SELECT CASE {' '.join(f"WHEN {S.in_list('word', ws)} THEN '{n}'" for n, ws in _LISTS.items())} END AS cluster, word FROM w WHERE word <> ''),
+n AS (SELECT cluster, word, count(*) AS n FROM c WHERE cluster IS NOT NULL GROUP BY 1, 2), r AS (SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY n DESC, word) AS rank FROM n) SELECT * FROM r WHERE rank <= 10"""
+)
 def vocabulary_clusters(t):
-    """A22."""
+    """A22, A31, by list: a top-k report."""
     return profile.vocabulary_clusters(t("documents"), "text")
 
 
@@ -364,13 +370,28 @@ def perturbed_texts(t):
     return t("documents").select("doc_id", models.perturbed(F.col("text")).alias("noisy"))
 
 
-@query()
-def output_statistics(t):
-    """A38."""
-    return t("documents").select("doc_id", scores.output_statistics("text").alias("s")).select("doc_id", "s.*")
+_OWN = f"list_distinct(list_transform({S.words('lower(text)')}, lambda w: trim(w, '.,!?;:\"''-')))"
 
 
-@query()
+def _shared(keys) -> str:
+    return f"len(list_intersect({_OWN}, {S.array(list(dict.fromkeys(keys)))}))"
+
+
+@query(
+    f"""WITH k AS (SELECT doc_id, least({_shared(L.TEMPORAL_WORDS)}, 3) + least({_shared(L.SEQUENCE_WORDS)}, 2) AS n, least(2 * {_shared(L.CONCEPT_WORDS)}, 4) + 3 * {S.any_of('lower(text)', L.DEFINITION_PHRASES)}::INT
+ + ({' OR '.join(f"starts_with(lower(text), {S.q(k)})" for k in L.IMPERSONAL_OPENINGS)})::INT AS c FROM documents)
+SELECT doc_id, CASE WHEN n > c + 1 THEN 'NARRATIVE' WHEN c > n + 1 THEN 'CONCEPTUAL' ELSE 'NARRATIVE' END AS content_type, NOT c > n + 1 AS narrative FROM k"""
+)
 def content_types(t):
-    """X69, with the lexical signals."""
-    return t("documents").select("doc_id", scores.content_type("text").alias("content_type"))
+    """X69, X103, with the lexical signals."""
+    return t("documents").select("doc_id", scores.content_type("text").alias("content_type"), scores.narrative("text").alias("narrative"))
+
+
+@query(
+    f"""WITH k AS (SELECT doc_id, {S.wc('text')} AS w, least({_shared(L.TEMPORAL_WORDS)}, 3) + least({_shared(L.SEQUENCE_WORDS)}, 2) AS n, least(2 * {_shared(L.CONCEPT_WORDS)}, 4) + 3 * {S.any_of('lower(text)', L.DEFINITION_PHRASES)}::INT
+ + ({' OR '.join(f"starts_with(lower(text), {S.q(k)})" for k in L.IMPERSONAL_OPENINGS)})::INT AS c FROM documents) SELECT doc_id FROM k WHERE w BETWEEN 100 AND 500 AND c > n + 1 ORDER BY md5('42:' || doc_id), doc_id LIMIT 30"""
+)
+def conceptual_passages(t):
+    """a sample of 30 conceptual passages of 100 to 500 words."""
+    d = t("documents").filter(text.word_count("text").between(100, 500) & (scores.content_type("text") == "CONCEPTUAL")).select("doc_id")
+    return sampling.sample(d, "doc_id", 30)
