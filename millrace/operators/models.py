@@ -52,7 +52,7 @@ def with_retry(call: Callable, texts: list[str], tries: int = 3, wait: float = 1
 
 
 def generated(df: DataFrame, prompt: Column, factory: Callable[[], Callable[[list[str]], list]], name: str = "answer", batch: int = 16, tries: int = 3, wait: float = 1.0, kind: str = "string") -> DataFrame:
-    """Df with the model's answer to the prompt, null where it failed.
+    """Df with the model's answer to the prompt, null where it failed; `tasks` has the steps built on it.
 
     A batch that fails is asked again row by row, so that one bad row costs itself only.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.plans import corpora, curation, events, records, style  # noqa: F401  registers its queries
+from millrace.plans import corpora, curation, events, modelled, records, style  # noqa: F401  registers its queries
 
 QUERIES: dict = {**records.QUERIES}
 ORACLES: dict = {**records.ORACLES}
