@@ -15,6 +15,7 @@ from millrace.functions import lexicons as L
 from millrace.functions.text import run_counts, word_tokens
 from millrace.functions.vectors import cosine, cosine_distance_unit, euclidean
 from millrace.operators.joins import centroid
+from millrace.operators.components import connected_components
 from millrace.operators.ranks import global_rank
 from millrace.sources.session import materialise
 
@@ -118,8 +119,7 @@ def semantic_near(df: DataFrame, key: str, vec: str, length: str, threshold: flo
     b = coded.select(F.col("i").alias("b"), F.col("v").alias("vb"), F.col("n").alias("nb"), F.explode("c").alias("c"))
     links = a.join(b, "c").filter((F.col("a") < F.col("b")) & (cosine("va", "vb") > threshold)).select("a", "b", "na", "nb").distinct()
     links = materialise(links, "near")
-    node = links.select(F.col("a").alias("x")).union(links.select("b")).distinct().withColumn("g", F.col("x"))
-    group = _groups(links, node)
+    group = connected_components(links).select(F.col("node").alias("x"), F.col("component").alias("g"))
     grouped = links.join(group, F.col("a") == F.col("x")).select("g", "a", "b", "na", "nb")
 
     def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -133,18 +133,6 @@ def semantic_near(df: DataFrame, key: str, vec: str, length: str, threshold: flo
     return df.join(gone.select(F.col("gone").alias(key)), key, "left_anti")
 
 
-def _groups(links: DataFrame, node: DataFrame) -> DataFrame:
-    """(x, g): the smallest node reachable, by rounds of minima until nothing changes."""
-    both = links.select("a", "b").union(links.select("b", "a")).toDF("a", "b")
-    state = materialise(node, "groups")
-    while True:
-        low = both.join(state, F.col("b") == F.col("x")).groupBy("a").agg(F.min("g").alias("m"))
-        new = materialise(state.join(low, F.col("x") == F.col("a"), "left").select("x", F.least("g", F.coalesce("m", "g")).alias("g"), (F.coalesce("m", "g") < F.col("g")).alias("moved")), "groups")
-        if new.filter("moved").isEmpty():
-            return new.select("x", "g")
-        state = new.select("x", "g")
-
-
 def blend(df: DataFrame, author: str, key: str, vec: str, primary: str, others: Sequence[str], threshold: float | None = None, top_percent: float | None = None, primary_weight: float = 2.0, least: int = 10) -> DataFrame:
     """(key, author, similarity) of the rows accepted, author by author against the centroid of what is accepted so far.
 

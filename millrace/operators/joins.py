@@ -212,3 +212,33 @@ def sentence_index(df: DataFrame, key: str, text: str, least: int = 8, most: int
     p = df.select(key, F.posexplode(paragraphs(text)).alias("paragraph", "_p"))
     s = p.select(key, "paragraph", F.posexplode(sentences("_p")).alias("position", "sentence"))
     return s.filter(word_count("sentence").between(least, most))
+
+
+#: So many item keys at most are compared as one array; more are joined by shuffle.
+ITEM_KEYS = 20_000
+
+
+def containing(docs: DataFrame, text: str, items: DataFrame, item: str, item_text: str) -> DataFrame:
+    """docs' columns and `item` for each item whose text stands in the document's, as it is.
+
+    An item's second to fourth words stand whole in every text that holds it, so a document meets only the items
+    whose three words it has; then the texts decide. Items of fewer than five words are few enough words to be looked for one by one.
+    """
+    from millrace.functions.text import let, words
+
+    triple = lambda w, i: F.xxhash64(w[i], w[i + 1], w[i + 2])
+    own = items.filter(F.col(item_text).isNotNull()).select(F.col(item).alias("_item"), F.col(item_text).alias("_t"), words(item_text).alias("_w"))
+    long_ = own.filter(F.size("_w") >= 5).select("_item", "_t", triple(F.col("_w"), 1).alias("_key"))
+    short = own.filter(F.size("_w") < 5).select("_item", "_t")
+    found = let(words(text), lambda w: F.when(F.size(w) >= 3, F.array_distinct(F.transform(F.sequence(F.lit(0), F.size(w) - 3), lambda i: triple(w, i)))).otherwise(F.array().cast("array<long>")))
+    keys = long_.select("_key").distinct()
+    n = keys.count()
+    if n <= ITEM_KEYS:
+        one = keys.agg(F.collect_list("_key").alias("_keys"))
+        met = docs.crossJoin(F.broadcast(one)).withColumn("_key", F.explode(F.array_intersect(found, "_keys"))).join(F.broadcast(long_), "_key")
+    else:
+        met = docs.withColumn("_key", F.explode(found)).join(long_, "_key")
+    out = met.filter(F.contains(text, "_t")).select(*docs.columns, F.col("_item").alias(item))
+    if short.isEmpty():
+        return out
+    return out.unionAll(docs.join(short.hint("shuffle_replicate_nl"), F.contains(F.col(text), F.col("_t"))).select(*docs.columns, F.col("_item").alias(item)))

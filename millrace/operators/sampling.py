@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,24 +17,44 @@ def _within(df: DataFrame, within: Sequence[str], key: str, seed: int) -> DataFr
     return df.withColumn("_rn", F.row_number().over(w.orderBy(hash_order(key, seed), key))).withColumn("_n", F.count(F.lit(1)).over(w))
 
 
+def first_by_hash(df: DataFrame, within: Sequence[str], key: str, most: Callable[[Column], Column], seed: int = 42) -> DataFrame:
+    """df with `_first`: whether a row is among its group's first most(rows of the group) in hash order; rows of one key stay together.
+
+    No group is ranked whole: its hashes are counted by their first three digits, and only the interval where the cut
+    falls is ranked, which gives one cut a group; groups are strata, so few that the cuts are broadcast.
+    """
+    order = hash_order(key, seed)
+    small = df.select(*within, order.alias("_h"), F.col(key).alias("_k")).withColumn("_b", F.substring("_h", 1, 3))
+    own = Window.partitionBy(*within)
+    counts = small.groupBy(*within, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(own.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    counts = counts.withColumn("_all", F.sum("_n").over(own)).withColumn("_m", F.least(most(F.col("_all")), F.col("_all")).cast("long"))
+    edge = counts.filter("_before < _m and _before + _n >= _m").select(*[F.col(c).alias(f"_w_{c}") for c in within], F.col("_b").alias("_w_b"), "_before", "_m")
+    same = [F.col(c).eqNullSafe(F.col(f"_w_{c}")) for c in within]
+    inside = small.join(F.broadcast(edge), [*same, F.col("_b") == F.col("_w_b")])
+    inside = inside.withColumn("_rn", F.row_number().over(Window.partitionBy(*within, "_b").orderBy("_h", "_k")))
+    cuts = inside.filter("_rn = _m - _before").select(*[F.col(c).alias(f"_w_{c}") for c in within], F.col("_h").alias("_cut_h"), F.col("_k").alias("_cut_k"))
+    out = df.join(F.broadcast(cuts), same, "left")
+    first = (order < F.col("_cut_h")) | ((order == F.col("_cut_h")) & (F.col(key) <= F.col("_cut_k")))
+    return out.select(*df.columns, F.coalesce(first, F.lit(False)).alias("_first"))
+
+
 def balance(df: DataFrame, kind: str, key: str, cap: int | None = None, seed: int = 42) -> DataFrame:
     """B1: at most cap rows of each kind, the smallest kind's count by default.
 
-    The cut is a rank limit below the window, so each task keeps cap rows of a kind at most before the shuffle.
+    A given cap is a rank limit, so each task keeps cap rows of a kind at most before the shuffle.
     """
     if cap is None:
-        counts = df.groupBy(kind).count()
-        least = counts.agg(F.min("count").alias("_cap"))
-        ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(kind).orderBy(hash_order(key, seed), key)))
-        return ranked.join(F.broadcast(least), F.col("_rn") <= F.col("_cap")).drop("_rn", "_cap")
+        least = df.groupBy(kind).count().agg(F.min("count")).first()[0] or 0
+        return first_by_hash(df, [kind], key, lambda n: F.lit(least), seed).filter("_first").drop("_first")
     ranked = df.withColumn("_rn", F.row_number().over(Window.partitionBy(kind).orderBy(hash_order(key, seed), key)))
     return ranked.filter(F.col("_rn") <= cap).drop("_rn")
 
 
 def stratified_split(df: DataFrame, strata: Sequence[str], key: str, share: float = 0.05, seed: int = 42) -> DataFrame:
     """B2: with `split`: the first round(n * share) rows of each stratum, half to even, are val."""
-    out = _within(df, strata, key, seed)
-    return out.withColumn("split", F.when(F.col("_rn") <= F.bround(F.col("_n") * share, 0), "val").otherwise("train")).drop("_rn", "_n")
+    out = first_by_hash(df, strata, key, lambda n: F.bround(n * share, 0), seed)
+    return out.withColumn("split", F.when(F.col("_first"), "val").otherwise("train")).drop("_first")
 
 
 def cut_split(df: DataFrame, key: str, shares: Sequence[tuple[str, float]], seed: int = 42, rest: str = "test", at_least: int = 0) -> DataFrame:

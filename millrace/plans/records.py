@@ -11,7 +11,7 @@ from millrace.operators import allocate, code, dedup, joins, profile, records, s
 from millrace.operators.coreset import content_cluster
 from millrace.operators.ranks import global_rank
 from millrace.plans import sql as S
-from millrace.sources.session import ship
+from millrace.sources.session import materialise, ship
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -75,7 +75,8 @@ SELECT doc_id, change_type, source FROM typed QUALIFY row_number() OVER (PARTITI
 )
 def assemble_by_type(t):
     """L1: D1, D2, F1, A2, B1."""
-    return sampling.balance(_typed(t), "change_type", "doc_id").select("doc_id", "change_type", "source")
+    typed = materialise(_typed(t).select("doc_id", "change_type", "source"), "typed")
+    return sampling.balance(typed, "change_type", "doc_id")
 
 
 @query(_TYPED + " SELECT change_type, count(*) AS n FROM typed GROUP BY change_type")
@@ -254,7 +255,8 @@ SELECT doc_id, source, change_type, CASE WHEN rn <= round_even(n * 0.05, 0) THEN
 def stratified_split(t):
     """B2, B3."""
     r = as_records(t("documents"))
-    r = r.withColumn("change_type", scores.change_type(joined(r)))
+    # The class is computed once, for the passes that count, cut and mark.
+    r = materialise(r.select("doc_id", "source", scores.change_type(joined(r)).alias("change_type")), "typed")
     return sampling.stratified_split(r, ["source", "change_type"], "doc_id").select("doc_id", "source", "change_type", "split")
 
 

@@ -258,3 +258,29 @@ def test_text_changes(spark):
     long_ = "word " * 20 + "here, and " + "more " * 10 + "end."
     assert spark.createDataFrame([(long_,)], "t string").select(models.split_long(F.col("t"))).first()[0].count(".") == 2
     assert spark.createDataFrame([("Delve into it",)], "t string").select(models.phrases_replaced(F.col("t"), {"delve into": "explore"})).first()[0] == "Explore it"
+
+
+def test_containing(spark, monkeypatch):
+    texts = ["xa b c d e fx", "a b  c d e f", "one two", "a b c d e f and one two", None, ""]
+    items = [(1, "a b c d e f"), (2, "one two"), (3, "two"), (4, None), (5, "b c d e fx")]
+    want = sorted((i, k) for i, t in enumerate(texts) for k, x in items if t is not None and x is not None and x in t)
+    docs = spark.createDataFrame(list(enumerate(texts)), "i long, text string")
+    for most in (20_000, 0):
+        monkeypatch.setattr(joins, "ITEM_KEYS", most)
+        got = joins.containing(docs, "text", spark.createDataFrame(items, "item long, t string"), "item", "t")
+        assert sorted((r.i, r.item) for r in got.collect()) == want
+
+
+def test_first_by_hash_is_a_rank_limit(spark):
+    import hashlib
+
+    rows = [(i, "a" if i % 3 else None, i % 2) for i in range(400)]
+    df = spark.createDataFrame(rows, "k long, g string, h long")
+    got = {r.k for r in sampling.first_by_hash(df, ["g", "h"], "k", lambda n: F.floor(n * 0.3)).filter("_first").collect()}
+    want = set()
+    for g, h in {(g, h) for _, g, h in rows}:
+        own = sorted((hashlib.md5(f"42:{k}".encode()).hexdigest(), k) for k, a, b in rows if (a, b) == (g, h))
+        want |= {k for _, k in own[: int(len(own) * 0.3)]}
+    assert got == want
+    assert sampling.first_by_hash(df, ["g"], "k", lambda n: n + 5).filter("_first").count() == 400
+    assert sampling.first_by_hash(df, ["g"], "k", lambda n: F.lit(0)).filter("_first").count() == 0
