@@ -6,7 +6,7 @@ them cannot take goes to the level above. Each leaf then reads whole epochs of i
 of one more, seeded, epoch, the shortest prefix that reaches its quota.
 
 Prefixes are found without sorting a leaf: its documents' order hashes are counted in 1024
-intervals, the interval where the quota falls is ranked by itself, and the result is one cutoff
+intervals or more (INTERVAL_ROWS), the interval where the quota falls is ranked by itself, and the result is one cutoff
 hash a leaf. The texts themselves are only filtered, never shuffled.
 
 Defined cases: tokens are runs of non-space characters; null text has none; null language
@@ -27,8 +27,8 @@ from pyspark.sql.window import Window
 
 from millrace.llm.common import materialise, own_prefix
 
-#: Intervals of the order hash, as bits.
-BITS = 10
+#: Intervals of the order hash, as bits: at least so many, and more where a leaf would have above INTERVAL_ROWS rows in one.
+BITS, INTERVAL_ROWS = 10, 50_000
 
 
 @dataclass(frozen=True)
@@ -116,7 +116,9 @@ def cutoffs(placed: DataFrame, mix: Mixture) -> DataFrame:
     """(domain, language, origin, whole, cutoff): the epochs that a leaf reads whole, and the last order hash of the next (null: none)."""
     spark = placed.sparkSession
     # One row a leaf: as many as there are sources, however many documents.
-    supply = {(r.domain, r.language, r.origin): r.tokens for r in placed.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens")).collect()}
+    found = placed.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n")).collect()
+    supply = {(r.domain, r.language, r.origin): r.tokens for r in found}
+    bits = max(BITS, (max((r.n for r in found), default=0) // INTERVAL_ROWS).bit_length())
     rows = []
     for leaf, quota in quotas(supply, mix).items():
         have = supply[leaf]
@@ -124,7 +126,7 @@ def cutoffs(placed: DataFrame, mix: Mixture) -> DataFrame:
         rows.append((*leaf, int(whole), int(quota - whole * have) if whole < mix.epochs and have else 0))
     leaves = spark.createDataFrame(rows, "domain string, language string, origin string, whole long, rest long")
     cut = placed.join(F.broadcast(leaves.filter("rest > 0")), LEAF)
-    cut = cut.withColumn("u", _order(F.col("doc_id"), F.col("whole") + 1, mix.seed)).withColumn("part", F.shiftright("u", 64 - BITS))
+    cut = cut.withColumn("u", _order(F.col("doc_id"), F.col("whole") + 1, mix.seed)).withColumn("part", F.shiftright("u", 64 - bits))
     parts = cut.groupBy(*LEAF, "rest", "part").agg(F.sum("tokens").alias("n"))
     up = Window.partitionBy(*LEAF).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     edge = parts.withColumn("before", F.coalesce(F.sum("n").over(up), F.lit(0))).filter("before < rest")

@@ -50,9 +50,11 @@ def brute(df, mix):
     return dict(out)
 
 
-def test_matches_brute_force(spark):
+def test_matches_brute_force(spark, monkeypatch):
     rows = [r for r in TEXTS if r[0] != 8]
-    for epochs in (1, 3):
+    for epochs, bits in ((1, 10), (3, 1)):
+        monkeypatch.setattr(mixing, "BITS", bits)
+        monkeypatch.setattr(mixing, "INTERVAL_ROWS", 20)
         mix = replace(MIX, epochs=epochs, share=0.5 * epochs)
         got = {r.doc_id: r.epochs_read for r in mixing.mixed(docs(spark, rows), mix).collect()}
         assert got == brute(docs(spark, rows), mix)
@@ -64,3 +66,51 @@ def test_take_keeps_columns_and_repeats(spark):
     mix = replace(MIX, epochs=2, share=2.0)
     assert mixing.take(df, mix).count() > len(TEXTS)
     assert mixing.take(docs(spark, []), MIX).count() == 0
+
+
+def plain_quotas(supply, mix):
+    """Quotas by water level: the level at which a node's children hold its budget, found by halving."""
+
+    def fill(nodes, budget):
+        lo, hi = 0.0, 1e12
+        for _ in range(300):
+            mid = (lo + hi) / 2
+            lo, hi = (mid, hi) if sum(min(m, w * mid) for w, m in nodes) < budget else (lo, mid)
+        return [min(m, w * hi) for w, m in nodes]
+
+    def go(leaves, depth, budget):
+        if depth == 3:
+            return {next(iter(leaves)): budget}
+        kids = defaultdict(dict)
+        for k, n in leaves.items():
+            kids[k[depth]][k] = n
+        weight = (mix.domain_weights, mix.lang_weights, mix.source_weights)[depth]
+        nodes = [(weight.get(k, mix.default), mix.epochs * sum(v.values())) for k, v in kids.items()]
+        return {k: b for v, b in zip(kids.values(), fill(nodes, min(budget, sum(m for _, m in nodes))), strict=True) for k, b in go(v, depth + 1, b).items()}
+
+    return go(supply, 0, mix.share * sum(supply.values()))
+
+
+def test_registered_query_matches_a_version_without_the_modules_own_functions(spark, sf_dir):
+    """Leaves, tokens, quotas and prefixes told anew; only the order hash is Spark's."""
+    from millrace.llm.queries import QUERIES
+
+    mix = replace(mixing.PRODUCTION, epochs=2)
+    docs_ = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("*", "xxhash64(42, 1L, doc_id) u1", "xxhash64(42, 2L, doc_id) u2", "xxhash64(42, 3L, doc_id) u3").collect()
+    domain = {s: d for d, members in mix.domains.items() for s in members}
+    leaves = defaultdict(list)
+    for r in docs_:
+        leaves[domain.get(r.source or "", "other"), r.lang or "", r.source or ""].append((r, len((r.text or "").split())))
+    supply = {k: sum(n for _, n in v) for k, v in leaves.items()}
+    want = {}
+    for k, quota in plain_quotas(supply, mix).items():
+        quota = round(quota, 6)
+        whole = min(2, int(quota // supply[k])) if supply[k] else 1
+        rest = int(quota) - whole * supply[k] if supply[k] and whole < 2 else 0
+        used = 0
+        for r, n in sorted(leaves[k], key=lambda x: x[0][f"u{whole + 1}"]):
+            if whole + (used < rest):
+                want[r.doc_id] = (k[0], k[1], k[2], n, whole + (used < rest))
+            used += n
+    got = {r.doc_id: (r.domain, r.lang, r.source, r.tokens, r.epochs_read) for r in QUERIES["op7_mixing"](spark, sf_dir).collect()}
+    assert got == want
