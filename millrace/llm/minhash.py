@@ -13,7 +13,7 @@ confirmed on full shingle sets.
    that leader, less the estimate's error; edges are kept down to `loose`, below that bound.
    A table of more than `table_rows` classes is cut into parts by hash, each with leaders of its own, whose
    leaders are then compared with each other in blocks: theirs is at least 3*threshold-2, and edges go down to `looser`.
-3. Connected candidates form a cluster. First the candidate edges themselves are confirmed on full sets, which
+3. Connected candidates form a cluster. First those edges that are likely links are confirmed on full sets, which
    joins copies of one text without comparing them with each other.
 4. In clusters that this leaves in several parts, members of different parts are compared on full sets. A cluster above
    `block` documents is cut into blocks; the blocks of its largest part meet only the blocks of the others.
@@ -159,7 +159,7 @@ class _Leaders:
         self.n += 1
 
     def meet(self, id_: int, sig: np.ndarray, threshold: float, loose: float) -> list[tuple]:
-        """Edges that connect a class with every leader like it: a spanning forest of them."""
+        """Edges (a, b, likely a link) that connect a class with every leader like it: a spanning forest of them."""
         like = (self.sigs[: self.n] == sig).mean(axis=1)
         near = np.flatnonzero(like >= loose)
         covered = len(near) and like.max() >= threshold
@@ -169,28 +169,30 @@ class _Leaders:
             return []
         # A covered class has its closest leader's edge, the likeliest to be a link.
         best = int(near[np.argmax(like[near])])
-        out = [(id_, self.ids[best])]
+        out = [(id_, self.ids[best], bool(like[best] >= threshold - LIKELY))]
         first = self.root(best)
         for j in near:
             other = self.root(int(j))
             if other != first:
                 self.up[other] = first
-                out.append((self.ids[best], self.ids[int(j)]))
+                out.append((self.ids[best], self.ids[int(j)], False))
         if not covered:
             self.up[self.n - 1] = first
         return out
 
 
-FOUND = "a long, b long, key long, id long, sig binary"
+#: Edges whose estimate is at most so far below the threshold are confirmed by themselves; the others only hold clusters together.
+LIKELY = 0.1
+FOUND = "a long, b long, likely boolean, key long, id long, sig binary"
 
 
 def _found(edges: set, leaders: list) -> pa.RecordBatch:
     """Edges, and leaders (key, id, sig) of cut tables."""
-    pairs = sorted({(int(max(e)), int(min(e))) for e in edges if e[0] != e[1]})
+    pairs = sorted({(int(max(a, b)), int(min(a, b)), likely) for a, b, likely in edges if a != b})
     no = [None] * len(leaders), [None] * len(pairs)
-    columns = [[a for a, _ in pairs] + no[0], [b for _, b in pairs] + no[0], *(no[1] + [x[k] for x in leaders] for k in range(3))]
-    types = [pa.int64()] * 4 + [pa.binary()]
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["a", "b", "key", "id", "sig"])
+    columns = [*([e[k] for e in pairs] + no[0] for k in range(3)), *(no[1] + [x[k] for x in leaders] for k in range(3))]
+    types = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["a", "b", "likely", "key", "id", "sig"])
 
 
 def _table_edges(threshold: float, loose: float):
@@ -255,7 +257,7 @@ def _in_blocks(rows: DataFrame, key: str, by: str, size: int, columns: list[str]
 
 
 def candidate_edges(reps: DataFrame, threshold: float, loose: float, looser: float, table_rows: int) -> DataFrame:
-    """reps (id, keys, sig) -> (a, b)."""
+    """reps (id, keys, sig) -> (a, b, likely)."""
     rows = reps.select("id", F.explode("keys").alias("key"))
     # One shuffle of (key, id): the window's sort also tells which tables hold two classes or more.
     hits = rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key"))).filter("n > 1").select("key", "id", "n")
@@ -264,13 +266,13 @@ def candidate_edges(reps: DataFrame, threshold: float, loose: float, looser: flo
     full = hits.join(reps.select("id", "sig"), "id").select("key", F.pmod(F.xxhash64("id"), parts).cast("int").alias("part"), parts.alias("parts"), "id", "sig")
     found = full.repartition("key", "part").sortWithinPartitions("key", "part", "id").mapInArrow(_table_edges(threshold, loose), FOUND)
     found = materialise(found, "found")
-    edges = found.filter("a is not null").select("a", "b")
+    edges = found.filter("a is not null").select("a", "b", "likely")
     leaders = found.filter("id is not null").select("key", "id", "sig")
     if not leaders.isEmpty():
         counted = leaders.join(leaders.groupBy("key").agg(F.count(F.lit(1)).alias("n")), "key")
         met = _in_blocks(counted, "key", "id", table_rows, ["id", "sig"]).groupBy("key", "i", "j").applyInArrow(_leader_edges(looser), "a long, b long")
-        edges = edges.unionAll(met)
-    return edges.distinct()
+        edges = edges.unionAll(met.withColumn("likely", F.lit(False)))
+    return edges.groupBy("a", "b").agg(F.max("likely").alias("likely"))
 
 
 def _linked(ids: list, sets: list, parts: list, num: int, den: int, split: int | None = None) -> list[tuple]:
@@ -356,7 +358,7 @@ def _confirmed(edges: DataFrame, full: DataFrame, num: int, den: int) -> DataFra
 
 
 def confirmed_links(docs: DataFrame, edges: DataFrame, clusters: DataFrame, k: int, num: int, den: int, block: int) -> DataFrame:
-    """Candidate edges (a, b) and their clusters (node, component) -> (a, b) links confirmed on full sets, enough to connect what all links connect."""
+    """Candidate edges (a, b, likely) and their clusters (node, component) -> (a, b) links confirmed on full sets, enough to connect what all links connect."""
     members = clusters
     if clusters.count() <= BROADCAST_ROWS:
         members = F.broadcast(members)
@@ -370,7 +372,7 @@ def confirmed_links(docs: DataFrame, edges: DataFrame, clusters: DataFrame, k: i
     full = text.select("node", "text").mapInArrow(sets, "node long, s binary")
     # Repeated ids have their sets linked under one id; equal ones are one.
     full = materialise(full, "sets")
-    sure = materialise(_confirmed(edges, full, num, den), "sure")
+    sure = materialise(_confirmed(edges.filter("likely").select("a", "b"), full, num, den), "sure")
     of = clusters.join(connected_components(sure).withColumnRenamed("component", "part"), "node", "left").withColumn("part", F.coalesce("part", "node"))
     of = materialise(of, "parts")
     sizes = of.groupBy("component", "part").agg(F.count(F.lit(1)).alias("m"))
