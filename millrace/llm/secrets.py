@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.text import let
+
 #: The base patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
@@ -33,6 +35,29 @@ KINDS = ("assign", "access", "hex", "weak_id", "weak_key", "endpoint")
 SPAN = "array<struct<start:int,rank:int,end:int>>"
 
 
+def _swept(items: Column, first: Column, move, keep, span) -> Column:
+    """The spans span(state, item) of the items that keep(state, item) holds for, the state going on by move(state, item).
+
+    A fold copies its array whenever it adds to it. Items are folded in chunks of about the root of their number, each with
+    an array of its own, so n spans cost about n**1.5 copied references instead of n squared.
+    """
+    none = F.expr(f"cast(array() as {SPAN})")
+
+    def step(acc: Column, x: Column) -> Column:
+        more = F.concat(acc["out"], F.array(span(acc["state"], x)))
+        return F.struct(move(acc["state"], x).alias("state"), F.when(keep(acc["state"], x), more).otherwise(acc["out"]).alias("out"))
+
+    def chunk(acc: Column, own: Column) -> Column:
+        done = F.aggregate(own, F.struct(acc["state"].alias("state"), none.alias("out")), step)
+        return let(done, lambda d: F.struct(d["state"].alias("state"), F.concat(acc["out"], d["out"]).alias("out")))
+
+    def cut(v: Column) -> Column:
+        width = F.greatest(F.ceil(F.sqrt(F.size(v))).cast("int"), F.lit(1))
+        return let(width, lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(v), F.lit(1)), w), lambda i: F.slice(v, i, w)))
+
+    return F.aggregate(let(items, cut), F.struct(first.alias("state"), none.alias("out")), chunk, lambda a: a["out"])
+
+
 def _spans(text: Column, pattern: str, rank: int, least_group: tuple[int, int] | None = None) -> Column:
     """array<struct<start, rank, end>> of the pattern's matches; least_group: (group, least length) of those to keep."""
     none = F.expr(f"cast(array() as {SPAN})")
@@ -44,15 +69,12 @@ def _spans(text: Column, pattern: str, rank: int, least_group: tuple[int, int] |
     lengths = F.arrays_zip(
         F.transform(pieces, lambda x: F.length(x)).alias("gap"), F.transform(matches, lambda x: F.length(x)).alias("own"), F.transform(groups, lambda x: F.length(x)).alias("group")
     )
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        lo = acc["at"] + x["gap"]
-        hi = lo + x["own"]
-        one = F.struct(lo.alias("start"), F.lit(rank).alias("rank"), hi.alias("end"))
-        return F.struct(hi.alias("at"), F.when(x["group"] >= least, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+    def one(at: Column, x: Column) -> Column:
+        lo = at + x["gap"]
+        return F.struct(lo.alias("start"), F.lit(rank).alias("rank"), (lo + x["own"]).alias("end"))
 
-    found = F.aggregate(lengths, start, step, lambda acc: acc["out"])
+    found = _swept(lengths, F.lit(0), lambda at, x: at + x["gap"] + x["own"], lambda at, x: x["group"] >= least, one)
     return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(none)
 
 
@@ -73,14 +95,16 @@ def _near(spans: Column, others: Column, scope: int) -> Column:
 
     far = F.lit(-1_000_000_000)
 
-    def step(acc: Column, x: Column) -> Column:
-        hit = (x["mine"] == 1) & (F.abs(x["at"] - acc["last"]) <= scope)
-        one = F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end"))
-        return F.struct(F.when(x["mine"] == 1, acc["last"]).otherwise(x["at"]).alias("last"), F.when(hit, F.concat(acc["out"], F.array(one))).otherwise(acc["out"]).alias("out"))
+    def swept(events: Column, first: Column) -> Column:
+        return _swept(
+            events, first, lambda last, x: F.when(x["mine"] == 1, last).otherwise(x["at"]), lambda last, x: (x["mine"] == 1) & (F.abs(x["at"] - last) <= scope),
+            lambda last, x: F.struct(x["start"].alias("start"), x["rank"].alias("rank"), x["end"].alias("end")),
+        )
 
-    before = F.aggregate(tagged("start", "end", 0), F.struct(far.alias("last"), none.alias("out")), step, lambda a: a["out"])
-    after = F.aggregate(F.reverse(tagged("end", "start", 2)), F.struct((-far).alias("last"), none.alias("out")), step, lambda a: a["out"])
-    return F.when((F.size(spans) > 0) & (F.size(others) > 0), F.array_union(before, after)).otherwise(none)
+    both = F.array_sort(F.concat(swept(tagged("start", "end", 0), far), swept(F.reverse(tagged("end", "start", 2)), -far)))
+    # Sorted, so a span found both ways stands beside itself; array_union would compare structs all with all.
+    once = let(both, lambda v: F.filter(v, lambda x, i: (i == 0) | (x != F.get(v, i - 1))))
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), once).otherwise(none)
 
 
 def _told(spans: Column) -> Column:

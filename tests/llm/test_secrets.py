@@ -110,3 +110,15 @@ def test_links_match_all_pairs(spark):
         for i, t in rows:
             assert got[i] == linked(t, scope), t
     assert got[900] == "assign:0:17,assign:18:36,weak_id:24:36"
+
+
+def test_many_spans_in_one_text(spark):
+    """Folds go by chunks: numbers of spans around their bounds, and a text with thousands."""
+    one = "user=bob%d password=hunter%d https://x%d.example.com/a"
+    rows = [(n, "é " + " ".join(one % (i, i, i) for i in range(n))) for n in (*range(11), 99, 100, 101)]
+    rows += [(3000, " ".join("user=bob%d password=hunter%d" % (i, i) for i in range(3000)))]
+    got = {r.doc_id: r for r in secrets.scan(docs(spark, rows)).collect()}
+    for n, t in rows[:-1]:
+        assert got[n].spans == linked(t)
+    assert got[3000].n_linked == got[3000].n_assign == 3000
+    check(rows, list(got.values()))
