@@ -85,15 +85,26 @@ def kmeans_budget(df: DataFrame, key: str, vec: str, words: str, target: int, sl
     data = df.withColumn("_features", array_to_vector(F.col(vec).cast("array<double>")))
     model = KMeans(k=k, seed=seed, featuresCol="_features", predictionCol="cluster").fit(data)
     data = materialise(model.transform(data).drop("_features"), "clusters")
-    shares = data.groupBy("cluster").agg((F.count(F.lit(1)) / n * target).alias("_share"))
-    w = Window.partitionBy("cluster").orderBy(F.desc(words), key).rowsBetween(Window.unboundedPreceding, 0)
-    chosen = data.withColumn("_sum", F.sum(words).over(w)).join(F.broadcast(shares), "cluster").filter(F.col("_sum") <= F.col("_share") * slack).drop("_sum", "_share")
-    have = chosen.agg(F.coalesce(F.sum(words), F.lit(0))).first()[0]
+    return cluster_budget(data, key, words, target, slack)
+
+
+def cluster_budget(df: DataFrame, key: str, words: str, target: int, slack: float = 1.1) -> DataFrame:
+    """B15, U8 on rows with a `cluster`: the longest of each up to its share of the target, then, below 90 %, the longest of the rest.
+
+    Rows are ranked over the whole table by cluster, length and key, so a cluster with most rows is no task of its own;
+    a cluster's own sum is the table's less what the clusters before it hold. Null lengths count 0.
+    """
+    amount = F.coalesce(F.col(words).cast("long"), F.lit(0).cast("long"))
+    ranked = global_rank(df, ["cluster", -amount, key], "_rank", amount, "_before")
+    before = Window.orderBy("cluster").rowsBetween(Window.unboundedPreceding, -1)  # one row a cluster
+    shares = df.groupBy("cluster").agg(F.count(F.lit(1)).alias("_n"), F.sum(amount).alias("_words"))
+    shares = shares.withColumns({"_share": F.col("_n") / F.sum("_n").over(Window.partitionBy()) * target * slack, "_start": F.coalesce(F.sum("_words").over(before), F.lit(0))})
+    chosen = ranked.join(F.broadcast(shares.select("cluster", "_share", "_start")), "cluster").filter(F.col("_before") - F.col("_start") + amount <= F.col("_share")).select(*df.columns)
+    have = chosen.agg(F.coalesce(F.sum(amount), F.lit(0))).first()[0]
     if have >= 0.9 * target:
         return chosen
-    rest = global_rank(data.join(chosen.select(key), key, "left_anti"), [-F.col(words), key], "_rank", F.col(words), "_before")
-    fill = rest.filter(F.col("_before") + F.col(words) <= target - have).drop("_rank", "_before")
-    return chosen.unionByName(fill)
+    rest = global_rank(df.join(chosen.select(key), key, "left_anti"), [-amount, key], "_rank", amount, "_before")
+    return chosen.unionByName(rest.filter(F.col("_before") + amount <= target - have).select(*df.columns))
 
 
 def semantic_near(df: DataFrame, key: str, vec: str, length: str, threshold: float = 0.9, bands: int = 12, bits: int = 8, seed: int = 5) -> DataFrame:

@@ -1,5 +1,6 @@
 """Operators on small tables: order, caps, sums, boundaries, determinism."""
 
+import re
 from collections import Counter
 
 import numpy as np
@@ -8,6 +9,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace.functions import lexicons
 from millrace.operators import allocate, chunking, coreset, dedup, joins, models, ranks, sampling, sessions
 from millrace.operators.chunking import Windows
 
@@ -210,6 +212,51 @@ def test_blend_and_kmeans(spark):
     assert coreset.kmeans_budget(df, "k", "v", "words", 200).count() >= 15
 
 
+def budgeted(rows, target, slack=1.1):
+    """Keys of (key, cluster, words) chosen by running sums, row by row."""
+    got, have = set(), 0
+    for c in {r[1] for r in rows}:
+        own, total = sorted((r for r in rows if r[1] == c), key=lambda r: (-r[2], r[0])), 0
+        for k, _, n in own:
+            total += n
+            if total <= len(own) / len(rows) * target * slack:
+                got.add(k)
+                have += n
+    if have < 0.9 * target:
+        total = 0
+        for k, _, n in sorted((r for r in rows if r[0] not in got), key=lambda r: (-r[2], r[0])):
+            total += n
+            if total <= target - have:
+                got.add(k)
+    return got
+
+
+@pytest.mark.parametrize("target", [0, 300, 1500, 100_000])
+def test_cluster_budget_matches_running_sums(spark, target):
+    rng = np.random.default_rng(target)
+    # One cluster holds two thirds of the rows; lengths tie.
+    rows = [(i, int(c) if c < 4 else 1, int(n)) for i, (c, n) in enumerate(zip(rng.integers(0, 9, 150), rng.integers(0, 30, 150), strict=True))]
+    df = spark.createDataFrame(rows, "k long, cluster int, words long").repartition(5)
+    assert {r.k for r in coreset.cluster_budget(df, "k", "words", target).collect()} == budgeted(rows, target)
+    assert coreset.cluster_budget(df.filter("k < 0"), "k", "words", target).count() == 0
+
+
+@pytest.mark.parametrize("threshold,share", [(0.1, None), (None, 0.3)])
+def test_blend_matches_plain_rounds(spark, threshold, share):
+    x = unit(90, seed=8)
+    who = ["abcd"[i % 4] for i in range(90)]
+    df = spark.createDataFrame([(i, w, v.tolist()) for i, (w, v) in enumerate(zip(who, x, strict=True))], "k long, author string, v array<double>")
+    got = {r.k: r.similarity for r in coreset.blend(df, "author", "k", "v", "a", ["b", "c"], threshold, share, least=3).collect()}
+    taken = {i: (1.0, 2.0) for i in range(90) if who[i] == "a"}
+    for name in "bc":
+        center = sum(x[i] * w for i, (_, w) in taken.items()) / sum(w for _, w in taken.values())
+        like = {i: float(x[i] @ center / (np.linalg.norm(x[i]) * np.linalg.norm(center) + 1e-8)) for i in range(90) if who[i] == name}
+        order = sorted((i for i in like if (like[i] >= threshold if threshold is not None else like[i] > 0)), key=lambda i: (-like[i], i))
+        taken |= {i: (like[i], 1.0) for i in (order if threshold is not None else order[: max(3, int(len(order) * share))])}
+    assert set(got) == set(taken) and len(got) < 69
+    assert all(abs(got[i] - taken[i][0]) < 1e-6 for i in got)
+
+
 @pytest.mark.parametrize("most", [20_000, 0])
 def test_vector_top_ties(spark, most, monkeypatch):
     monkeypatch.setattr(joins, "QUERY_ROWS", most)
@@ -284,3 +331,56 @@ def test_first_by_hash_is_a_rank_limit(spark):
     assert got == want
     assert sampling.first_by_hash(df, ["g"], "k", lambda n: n + 5).filter("_first").count() == 400
     assert sampling.first_by_hash(df, ["g"], "k", lambda n: F.lit(0)).filter("_first").count() == 0
+
+
+def verified(source, output):
+    """(score, grounded, hallucinations, fabricated) by plain loops."""
+    stop = set(lexicons.STOP_WORDS)
+
+    def content(t):
+        w = [v.strip(".,!?;:'\"()-—") for v in t.lower().split()]
+        return {v for v in w if len(v) >= 4 and v.isalpha() and v not in stop}
+
+    def names(t):
+        return {v.lower() for v in re.findall(r"(?<=[a-z,;] )[A-Z][a-zé]+(?: [A-Z][a-zé]+)*", t)}
+
+    def stem(a, b):
+        a, b = sorted((a, b), key=len)
+        return a == b or (len(a) >= 5 and b.startswith(a) and len(b) - len(a) <= 2)
+
+    split = lambda t: [v.strip() for v in re.split(r"(?<=[.!?])\s+", t) if v.strip()]
+    years = lambda t: set(re.findall(r"\b(1[89]\d{2}|20\d{2})\b", t))
+    cites = lambda t: set(re.findall(r"\([^)]*(?:19|20)\d{2}[^)]*\)", t))
+    src, every, good, bad = [content(v) for v in split(source)], content(source), [], 0
+    for v in split(output):
+        own, n = content(v), len(v.split())
+        best = max((2 * len(own & w) / (len(own) + len(w)) for w in src if own & w), default=0.0)
+        novel = len(own - every) / len(own) if own else 0.0
+        free = n < 4 or not own
+        good.append(free or best >= 0.4 or novel < 0.3)
+        bad += not free and best < 0.15 and novel > 0.5 and n > 8
+    grounded = sum(good) / len(good) if good else 0.0
+    covered = len(every & content(output)) / len(every) if every else 1.0
+    a, b = names(source), names(output)
+    known = sum(any(stem(x, y) for y in b) for x in a) / len(a) if a else 1.0
+    made = sum(not any(stem(x, y) for x in a) for y in b) + len(years(output) - years(source)) + len(cites(output) - cites(source))
+    return max(0.0, 0.4 * grounded + 0.3 * covered + 0.3 * known - min(0.5, 0.15 * bad) - min(0.3, 0.1 * made)), grounded, bad, made
+
+
+def test_verification_matches_plain_loops(spark):
+    parts = [
+        "The river crossed the old valley near Lyon in 1923.", "A merchant named Hegel walked, with Anna Karen, across the market.", "Nothing grows there!", "Why not?",
+        "Engines burn fuel (Smith 2001) while pilots watch several silver gauges every morning.", "The valley near Lyons was crossed by the old river.", "Go on then.",
+        "Completely unrelated planets orbit distant stars beyond imagination, however quickly astronomers calculate trajectories.", "In 1850 the Prussian army left, Marx wrote.", "it was so.",
+    ]
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(rng.choice(parts, rng.integers(0, 6))), " ".join(rng.choice(parts, rng.integers(0, 6)))) for i in range(120)]
+    df = spark.createDataFrame(rows, "k int, a string, b string").select("k", joins.verification("a", "b").alias("v"))
+    got = {r.k: r.v for r in df.collect()}
+    wants = [verified(a, b) for _, a, b in rows]
+    assert len({w[2] for w in wants}) > 1 and len({w[3] for w in wants}) > 2
+    for (i, a, b), want in zip(rows, wants, strict=True):
+        v = got[i]
+        assert (v.hallucinations, v.fabricated) == want[2:], (a, b)
+        assert abs(v.score - want[0]) < 1e-9 and abs(v.grounded - want[1]) < 1e-9, (a, b)
+        assert v.valid == (v.score >= 0.7)
