@@ -121,13 +121,13 @@ def file_kinds(t):
 
 
 @query(
-    f"""WITH f AS (SELECT p_partkey, {_PATH_SQL} AS p, p_size % 7 = 0 AS is_merge, p_partkey // 3 AS c, p_type FROM part), g AS (SELECT c, bool_or({_CODE_FILE}) AS has_code, arg_min(is_merge, p_partkey) AS is_merge, arg_min(p_type, p_partkey) AS message FROM f GROUP BY 1)
+    f"""WITH f AS (SELECT p_partkey, {_PATH_SQL} AS p, p_size % 7 = 0 AS is_merge, p_partkey // 3 AS c, p_type || ' ' || p_name AS note FROM part), g AS (SELECT c, bool_or({_CODE_FILE}) AS has_code, arg_min(is_merge, p_partkey) AS is_merge, arg_min(note, p_partkey) AS message FROM f GROUP BY 1)
 SELECT c AS commit_id FROM g WHERE has_code AND NOT is_merge AND {S.wc('message')} >= 3 AND length({S.strip('message')}) >= 10"""
 )
 def code_commits(t):
     """three paths a commit."""
-    d = t("part").select(F.floor(F.col("p_partkey") / 3).alias("commit_id"), "p_partkey", (F.col("p_size") % 7 == 0).alias("m"), "p_type", _path().alias("p"))
-    d = d.groupBy("commit_id").agg(F.collect_list("p").alias("files"), F.min_by("m", "p_partkey").alias("is_merge"), F.min_by("p_type", "p_partkey").alias("message"))
+    d = t("part").select(F.floor(F.col("p_partkey") / 3).alias("commit_id"), "p_partkey", (F.col("p_size") % 7 == 0).alias("m"), F.concat("p_type", F.lit(" "), "p_name").alias("note"), _path().alias("p"))
+    d = d.groupBy("commit_id").agg(F.collect_list("p").alias("files"), F.min_by("m", "p_partkey").alias("is_merge"), F.min_by("note", "p_partkey").alias("message"))
     return records.code_commits(d).select("commit_id")
 
 
