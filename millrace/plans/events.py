@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.functions import vectors as V
-from millrace.operators import coreset, joins, sessions
+from millrace.operators import blocks, coreset, joins, sessions
 from millrace.plans.records import query
 from millrace.sources.files import json_rows
 from millrace.streaming import incremental
@@ -131,10 +131,8 @@ WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list
 def near_search(t):
     """The stated queries (ids divisible by 20) against all rows, at a low threshold, block by block; nothing is broadcast."""
     e = t("embeddings")
-    a = e.filter("vec_id % 20 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("ea"))
-    b = e.select(F.col("vec_id").alias("found_id"), F.col("embedding").alias("eb"))
-    found = b.join(a.hint("shuffle_replicate_nl"), F.col("query_id") != F.col("found_id"))
-    return found.filter(V.cosine("ea", "eb") >= 0.3).select("query_id", "found_id")
+    found = blocks.near(blocks.packed(e.filter("vec_id % 20 = 0"), "vec_id", "embedding"), blocks.packed(e, "vec_id", "embedding"), "vec_id", "vec_id", 0.3)
+    return found.toDF("query_id", "found_id").filter("query_id <> found_id")
 
 
 @query("SELECT doc_id, sum(b) AS ones FROM (SELECT doc_id, unnest(list_transform(string_split(sha256(text), ''), lambda h: bit_count(('0x' || h)::INT))) AS b FROM documents) GROUP BY 1".replace("sum(b)", "sum(b)::BIGINT"))
