@@ -11,7 +11,9 @@ from pyspark.sql.window import Window
 from millrace.functions.scores import mean
 from millrace.functions.text import _c, let, same_stem, sentences, word_count
 from millrace.functions.vectors import cosine
+from millrace.operators import blocks
 from millrace.operators.records import content_words
+from millrace.sources.session import materialise
 
 
 #: Query vectors of at most so many rows are broadcast to the items.
@@ -49,22 +51,14 @@ def interval_overlap(left: DataFrame, right: DataFrame, keys: Sequence[str], l_s
 def vector_top(queries: DataFrame, items: DataFrame, q_vec: str, i_vec: str, q_id: str, i_id: str, k: int, least: float = 0.15) -> DataFrame:
     """Of each query the k items of highest cosine, ties to the smaller id.
 
-    The query set is stated, and meets the items in blocks of 64 queries. Up to QUERY_ROWS queries the blocks are
-    broadcast; more are joined by shuffle, every item going to each block. Of each item partition and query only what passes
-    `least` is ranked.
+    The query set is stated, and meets the items block by block in numpy (`blocks`). Up to QUERY_ROWS queries their blocks
+    are broadcast; more are read by each item partition. A task passes on what isn't worse than the k best it has met, by the
+    sums that `cosine` makes; what the tasks pass on is written once and ranked.
     """
-    n = queries.count()
-    blocks = max(1, -(-n // 64))
-    packed = queries.select(F.col(q_id), F.col(q_vec).alias("_q")).withColumn("_b", F.pmod(F.xxhash64(q_id), F.lit(blocks)))
-    packed = packed.groupBy("_b").agg(F.collect_list(F.struct(F.col(q_id).alias("q"), "_q")).alias("_qs"))
-    own = items.select(F.col(i_id).alias("i"), F.col(i_vec).alias("_i"))
-    if n <= QUERY_ROWS:
-        scored = own.crossJoin(F.broadcast(packed))
-    else:
-        scored = own.withColumn("_b", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))).join(packed, "_b")
-    hits = F.filter(F.transform("_qs", lambda s: F.struct(s["q"].alias("q"), cosine(s["_q"], F.col("_i")).alias("similarity"))), lambda s: s["similarity"] >= least)
-    rows = scored.select("i", F.explode(hits).alias("h")).select(F.col("h.q").alias(q_id), F.col("i").alias(i_id + "_match"), F.col("h.similarity").alias("similarity"))
-    w = Window.partitionBy(q_id).orderBy(F.desc("similarity"), i_id + "_match")
+    few = queries.count() <= QUERY_ROWS
+    found = blocks.top(blocks.packed(items, i_id, i_vec), blocks.packed(queries, q_id, q_vec), i_id, q_id, k, least, few)
+    rows = materialise(found.toDF(q_id, i_id + "_match", "similarity"), "top")
+    w = Window.partitionBy(q_id).orderBy(F.desc("similarity"), F.asc_nulls_last(i_id + "_match"))
     return rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 

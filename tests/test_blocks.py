@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from millrace.operators import blocks
+from millrace.operators import blocks, joins
 from millrace.plans.catalogue import QUERIES
 
 
@@ -44,7 +44,29 @@ def test_near_equals_a_loop(spark, rows, threshold, monkeypatch):
     assert got == sorted((i, j) for i, x in data if i % 3 == 0 for j, y in data if passes(fold(x, y), threshold))
 
 
+@pytest.mark.parametrize("rows", [2048, 16])
+@pytest.mark.parametrize("most", [20_000, 0])
+def test_top_equals_a_loop(spark, rows, most, monkeypatch):
+    monkeypatch.setattr(blocks, "ROWS", rows)
+    monkeypatch.setattr(blocks, "PART", 50)
+    monkeypatch.setattr(joins, "QUERY_ROWS", most)
+    data = odd_rows()
+    df = spark.createDataFrame(data, "k long, v array<double>").repartition(3)
+    got = {(r.k, r["rank"]): (r.k_match, r.similarity) for r in joins.vector_top(df.filter("k % 3 = 0"), df, "v", "v", "k", "k", 4).collect()}
+    want = {}
+    for i, x in data:
+        if i % 3 == 0:
+            own = sorted(((-math.inf if math.isnan(c) else -c, j, c) for j, y in data if passes(c := fold(x, y), 0.15)))[:4]
+            want |= {(i, n + 1): (j, c) for n, (_, j, c) in enumerate(own)}
+    assert repr(sorted(got.items())) == repr(sorted(want.items()))
+
+
 @pytest.mark.parametrize("name", ["near_search"])
 def test_no_column_expression_a_pair(spark, sf_dir, name):
     plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "zip_with" not in plan and "aggregate(" not in plan
+
+
+def test_top_ranks_what_tasks_pass_on(spark, sf_dir):
+    plan = QUERIES["cosine_topk"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "zip_with" not in plan and "xplode" not in plan
