@@ -26,6 +26,8 @@ from millrace.sources.session import materialise
 ROWS, PART = 2048, 16_384
 #: Pairs compared in double precision at a time.
 PAIRS = 1 << 18
+#: Bytes of blocks that a task keeps for the next pair.
+HELD = 64 << 20
 
 
 def packed(df: DataFrame, key: str, vec: str, more: Sequence[str] = ()) -> DataFrame:
@@ -119,11 +121,17 @@ def exact(a: Block, b: Block, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return out
 
 
+def _not_below(rough: np.ndarray, cut: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of what isn't below cut; rows whose greatest is below it aren't looked at again."""
+    rows = np.flatnonzero(~(rough.max(axis=1) < cut))
+    at = np.flatnonzero(~(rough[rows].ravel() < cut))
+    return rows[at // rough.shape[1]], at % rough.shape[1]
+
+
 def alike(a: Block, b: Block, threshold: float, strict: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Rows of a and of b whose cosine reaches the threshold, or passes it if strict."""
     rough, slack = likeness(a, b)
-    low = rough < threshold - slack
-    i, j = np.nonzero(~low)
+    i, j = _not_below(rough, threshold - slack)
     near = rough[i, j]
     sure = near > threshold + slack
     at = np.flatnonzero(~sure)
@@ -151,14 +159,18 @@ def meeting(left: DataFrame, right: DataFrame, found: Callable, schema: str, onc
 
     def run(it):
         def each():
-            held: dict[str, tuple] = {}
+            held: dict[tuple, Block] = {}
 
             def block(side, rb, at, columns):
                 number = rb.column(f"{side}_block")[at].as_py()
-                if held.get(side, (None,))[0] != number:
+                found = held.get((side, number))
+                if found is None:
                     row = {c: rb.column(f"{side}_{c}")[at].as_py() for c in ("dim", "width", "vecs")}
-                    held[side] = (number, Block(row, {c: rb.column(f"{side}_{c}")[at].values for c in columns}))
-                return held[side]
+                    found = Block(row, {c: rb.column(f"{side}_{c}")[at].values for c in columns})
+                    while held and (len(held) + 1) * found.x.nbytes * 2 > HELD:
+                        held.pop(next(iter(held)))
+                    held[side, number] = found
+                return number, found
 
             for rb in it:
                 for at in range(rb.num_rows):

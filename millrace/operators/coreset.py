@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 from millrace.functions import lexicons as L
 from millrace.functions.text import run_counts, word_tokens
 from millrace.functions.vectors import cosine, cosine_distance_unit, euclidean
+from millrace.operators import blocks
 from millrace.operators.joins import centroid
 from millrace.operators.components import connected_components
 from millrace.operators.ranks import global_rank
@@ -107,41 +108,117 @@ def cluster_budget(df: DataFrame, key: str, words: str, target: int, slack: floa
     return chosen.unionByName(rest.filter(F.col("_before") + amount <= target - have).select(*df.columns))
 
 
-def semantic_near(df: DataFrame, key: str, vec: str, length: str, threshold: float = 0.9, bands: int = 12, bits: int = 8, seed: int = 5) -> DataFrame:
+#: So many links at most are followed one by one; of more, rows are decided in rounds first.
+LINKS = 2_000_000
+_NONE = np.iinfo(np.int64).max
+
+
+def _linked(a, b, same: bool, threshold: float):
+    """Of the links of two blocks the rows i of a and j of b, their keys, and whether the earlier row is no shorter (then the later goes)."""
+    i, j = blocks.alike(a, b, threshold, strict=True)
+    (ka, na), (kb, nb) = ((x.columns["i"].to_numpy(), x.columns["n"]) for x in (a, b))
+    apart = ka[i] < kb[j] if same else ka[i] != kb[j]
+    i, j = i[apart], j[apart]
+    known = na.is_valid().to_numpy(zero_copy_only=False)[i] & nb.is_valid().to_numpy(zero_copy_only=False)[j]
+    na, nb = (x.fill_null(0).to_numpy()[at] for x, at in ((na, i), (nb, j)))
+    return i, j, ka[i], kb[j], known & np.where(ka[i] < kb[j], na >= nb, nb >= na)
+
+
+def _tallies(threshold: float):
+    """Of each row with links in two blocks: how many, the first earlier row, the first earlier one that is shorter, and whether a later one is longer."""
+
+    def tally(keys, at, own, other, later_goes):
+        low, first = np.full(len(keys), _NONE), np.full(len(keys), _NONE)
+        longer = np.zeros(len(keys), bool)
+        back = own > other
+        np.minimum.at(first, at[back], other[back])
+        np.minimum.at(low, at[back & ~later_goes], other[back & ~later_goes])
+        longer[at[~back & ~later_goes]] = True
+        n = np.bincount(at, minlength=len(keys))
+        k = np.flatnonzero(n)
+        return pa.RecordBatch.from_arrays([pa.array(keys[k]), pa.array(n[k]), pa.array(first[k]), pa.array(low[k]), pa.array(longer[k])], names=["i", "links", "first", "low", "longer"])
+
+    def found(pairs):
+        for a, b, m, n in pairs:
+            i, j, ka, kb, later_goes = _linked(a, b, m == n, threshold)
+            if len(i):
+                yield tally(a.columns["i"].to_numpy(), i, ka, kb, later_goes)
+                yield tally(b.columns["i"].to_numpy(), j, kb, ka, later_goes)
+
+    return found
+
+
+def _links(threshold: float):
+    def found(pairs):
+        for a, b, m, n in pairs:
+            i, j, ka, kb, later_goes = _linked(a, b, m == n, threshold)
+            if len(i):
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ka, kb)), pa.array(np.maximum(ka, kb)), pa.array(later_goes)], names=["a", "b", "later_goes"])
+
+    return found
+
+
+def _heads_of(threshold: float):
+    """Heads' blocks against others': of each other row the first head it is linked with."""
+
+    def found(pairs):
+        for a, b, *_ in pairs:
+            i, j, ka, _, _ = _linked(a, b, False, threshold)
+            if len(i):
+                keys, head = b.columns["i"].to_numpy(), np.full(len(b.x), _NONE)
+                np.minimum.at(head, j, ka)
+                k = np.flatnonzero(head < _NONE)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[k]), pa.array(head[k])], names=["i", "head"])
+
+    return found
+
+
+def semantic_near(df: DataFrame, key: str, vec: str, length: str, threshold: float = 0.9) -> DataFrame:
     """Df without near-duplicates by cosine: in order of key, of two rows alike the shorter goes, the later on ties.
 
-    Candidates share one of `bands` random-hyperplane codes; the greedy pass runs over the links of one connected
-    group at a time, in key order, and rows without links never move.
+    All pairs are compared, block by block (`blocks`), and first only counted by row. Up to LINKS links, the greedy pass runs over
+    the links of one connected group at a time, in key order. Of more, as in a large group of rows alike, rows are decided
+    in rounds, and no link is written: a row with no earlier row and no later longer one beside it stays (a head), and all
+    beside it go when its turn comes; one that could not have driven out a shorter row before that turn is left out of
+    the next round. A round without such rows falls back to the links. Rows without links never move.
     """
-    rows = df.select(F.col(key).cast("long").alias("i"), F.col(vec).cast("array<double>").alias("v"), F.col(length).cast("long").alias("n"))
-    dim = rows.select(F.size("v")).first()
-    if dim is None:
-        return df
-    planes = np.random.default_rng(seed).normal(size=(bands * bits, dim[0]))
-
-    def codes(it):
-        for rb in it:
-            x = np.array(rb.column("v").to_pylist(), np.float64).reshape(rb.num_rows, -1)
-            signs = (x @ planes.T >= 0).reshape(len(x), bands, bits) @ (1 << np.arange(bits))
-            yield pa.RecordBatch.from_arrays([rb.column("i"), rb.column("v"), rb.column("n"), pa.array((signs + (np.arange(bands) << bits)).tolist(), pa.list_(pa.int64()))], names=["i", "v", "n", "c"])
-
-    coded = rows.mapInArrow(codes, "i long, v array<double>, n long, c array<long>")
-    a = coded.select(F.col("i").alias("a"), F.col("v").alias("va"), F.col("n").alias("na"), F.explode("c").alias("c"))
-    b = coded.select(F.col("i").alias("b"), F.col("v").alias("vb"), F.col("n").alias("nb"), F.explode("c").alias("c"))
-    links = a.join(b, "c").filter((F.col("a") < F.col("b")) & (cosine("va", "vb") > threshold)).select("a", "b", "na", "nb").distinct()
-    links = materialise(links, "near")
-    group = connected_components(links).select(F.col("node").alias("x"), F.col("component").alias("g"))
-    grouped = links.join(group, F.col("a") == F.col("x")).select("g", "a", "b", "na", "nb")
-
-    def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
-        gone: set = set()
-        for r in pdf.sort_values(["a", "b"]).itertuples():
-            if r.a not in gone and r.b not in gone:
-                gone.add(r.b if r.na >= r.nb else r.a)
-        return pd.DataFrame({"gone": sorted(gone)}, dtype="int64")
-
-    gone = grouped.groupBy("g").applyInPandas(resolve, "gone long")
-    return df.join(gone.select(F.col("gone").alias(key)), key, "left_anti")
+    rows = df.select(F.col(key).cast("long").alias("i"), F.col(vec).alias("v"), F.col(length).cast("long").alias("n")).filter("i is not null")
+    rows = materialise(rows, "vectors")
+    gone = []
+    while True:
+        own = blocks.packed(rows, "i", "v", ["n"])
+        tally = blocks.meeting(own, own, _tallies(threshold), "i long, links long, first long, low long, longer boolean", once=True)
+        tally = materialise(tally.groupBy("i").agg(F.sum("links").alias("links"), F.min("first").alias("first"), F.min("low").alias("low"), F.max("longer").alias("longer")), "tally")
+        total = tally.agg(F.coalesce(F.sum("links"), F.lit(0))).first()[0] // 2
+        # Only rows with links are compared again.
+        rows = rows.join(tally.select("i"), "i", "left_semi")
+        if total <= LINKS:
+            break
+        head = (F.col("first") == _NONE) & ~F.col("longer")
+        heads, rest = (blocks.packed(rows.join(tally.filter(which).select("i"), "i", "left_semi"), "i", "v", ["n"]) for which in (head, ~head))
+        beside = blocks.meeting(heads, rest, _heads_of(threshold), "i long, head long").groupBy("i").agg(F.min("head").alias("head"))
+        out = materialise(beside.join(tally, "i").filter("low > head").select("i"), "gone")
+        if out.isEmpty():
+            break
+        gone.append(out)
+        rows = materialise(rows.join(out, "i", "left_anti"), "vectors")
+    if total:
+        own = blocks.packed(rows, "i", "v", ["n"])
+        links = materialise(blocks.meeting(own, own, _links(threshold), "a long, b long, later_goes boolean", once=True).distinct(), "near")
+        group = connected_components(links).select(F.col("node").alias("x"), F.col("component").alias("g"))
+        grouped = links.join(group, F.col("a") == F.col("x")).select("g", "a", "b", "later_goes")
+
+        def resolve(pdf: pd.DataFrame) -> pd.DataFrame:
+            out: set = set()
+            for r in pdf.sort_values(["a", "b"]).itertuples():
+                if r.a not in out and r.b not in out:
+                    out.add(r.b if r.later_goes else r.a)
+            return pd.DataFrame({"i": sorted(out)}, dtype="int64")
+
+        gone.append(grouped.groupBy("g").applyInPandas(resolve, "i long"))
+    for out in gone:
+        df = df.join(out.select(F.col("i").alias(key)), key, "left_anti")
+    return df
 
 
 def blend(df: DataFrame, author: str, key: str, vec: str, primary: str, others: Sequence[str], threshold: float | None = None, top_percent: float | None = None, primary_weight: float = 2.0, least: int = 10) -> DataFrame:

@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 
-from millrace.operators import blocks, joins
+from millrace.operators import blocks, coreset, joins
 from millrace.plans.catalogue import QUERIES
 
 
@@ -70,3 +70,30 @@ def test_no_column_expression_a_pair(spark, sf_dir, name):
 def test_top_ranks_what_tasks_pass_on(spark, sf_dir):
     plan = QUERIES["cosine_topk"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "zip_with" not in plan and "xplode" not in plan
+
+
+def greedy(rows, threshold):
+    gone = set()
+    for a, x, na in rows:
+        for b, y, nb in rows:
+            c = fold(x, y)
+            if a < b and a not in gone and b not in gone and c is not None and (c > threshold or math.isnan(c)):
+                gone.add(b if na >= nb else a)
+    return [a for a, *_ in rows if a not in gone]
+
+
+@pytest.mark.parametrize("rows,most", [(2048, 2_000_000), (16, 0)])
+@pytest.mark.parametrize("lengths", [1, 4])
+def test_semantic_near_equals_the_greedy_pass(spark, rows, most, lengths, monkeypatch):
+    """Chains, copies, a group with a third of all rows, and pairs just above the threshold, which hyperplane codes lose."""
+    monkeypatch.setattr(blocks, "ROWS", rows)
+    monkeypatch.setattr(blocks, "PART", 50)
+    monkeypatch.setattr(coreset, "LINKS", most)
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(12, 8))
+    x = [base[0] + 0.1 * rng.normal(size=8) if i % 3 == 0 else base[i % 12] + 0.35 * rng.normal(size=8) for i in range(150)]
+    x += [np.array([math.cos(0.4 * i), math.sin(0.4 * i), *[0.0] * 6]) for i in range(30)]
+    at = rng.permutation(len(x))
+    data = [(i, x[at[i]].tolist(), int(rng.integers(0, lengths))) for i in range(len(x))]
+    got = coreset.semantic_near(spark.createDataFrame(data, "k long, v array<double>, n long").repartition(3), "k", "v", "n").collect()
+    assert sorted(r.k for r in got) == greedy(data, 0.9)
