@@ -15,7 +15,8 @@ def hits(x: Column, keywords: list[str]) -> Column:
 
 
 def any_of(x: Column, keywords: list[str]) -> Column:
-    return F.exists(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(x, k))
+    # Bound first: in the inner lambda x would be computed for each keyword.
+    return let(x, lambda v: F.exists(F.array(*[F.lit(k) for k in keywords]), lambda k: F.contains(v, k)))
 
 
 def change_type(x: Column) -> Column:

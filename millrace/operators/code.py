@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions import lexicons as L
 from millrace.functions.scores import any_of, hits, relevance
-from millrace.functions.text import _c, strip
+from millrace.functions.text import _c, let, strip
 from millrace.operators.joins import interval_overlap
 from millrace.operators.records import _ends, changed_lines
 
@@ -166,12 +166,10 @@ def validation_summary(scored: DataFrame) -> DataFrame:
 
 def pattern_flags(diff: Column | str, files: Column | str) -> Column:
     """The names of the patterns of a diff, none without a source file."""
-    d = F.lower(F.coalesce(_c(diff), F.lit("")))
     own = F.filter(_c(files), lambda f: _ends(f, L.CODE_EXTENSIONS))
-    effects = any_of(d, L.SIDE_EFFECT_FORMS)
     named = lambda keys: F.exists(own, lambda f: any_of(F.lower(f), keys))
     data = F.exists(own, lambda f: _ends(f, L.DATA_EXTENSIONS))
-    flags = F.array_compact(
+    found = lambda d, effects: F.array_compact(
         F.array(
             F.when(~effects & ~data & any_of(d, L.STRUCTURE_FORMS), "pure-refactor"),
             F.when((hits(d, L.CONCURRENCY_FORMS) >= 2) | (F.contains(d, F.lit("atom")) & F.contains(d, F.lit("swap!"))), "state-machine"),
@@ -180,6 +178,8 @@ def pattern_flags(diff: Column | str, files: Column | str) -> Column:
             F.when(any_of(d, L.ASYNC_FORMS), "async"), F.when(any_of(d, L.MULTIMETHOD_FORMS), "multimethod"),
         )
     )
+    # The lower-case diff, and whether it has effects, are computed once a row.
+    flags = let(F.lower(F.coalesce(_c(diff), F.lit(""))), lambda d: let(any_of(d, L.SIDE_EFFECT_FORMS), lambda effects: found(d, effects)))
     return F.when(F.size(own) > 0, flags).otherwise(F.array().cast("array<string>"))
 
 
