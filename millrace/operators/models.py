@@ -21,6 +21,9 @@ from millrace.functions.scores import good_perspective, good_variation, lexical_
 from millrace.functions.text import bracket_moves, sentences
 from millrace.operators.code import _blocks, right_end_state
 
+#: Characters of answers that go on in one piece.
+LETTERS = 1 << 20
+
 #: name -> factory of a callable(list of texts) -> list of answers.
 REGISTRY: dict[str, Callable[[], Callable[[list[str]], list]]] = {}
 
@@ -54,15 +57,19 @@ def with_retry(call: Callable, texts: list[str], tries: int = 3, wait: float = 1
 def generated(df: DataFrame, prompt: Column, factory: Callable[[], Callable[[list[str]], list]], name: str = "answer", batch: int = 16, tries: int = 3, wait: float = 1.0, kind: str = "string") -> DataFrame:
     """Df with the model's answer to the prompt, null where it failed; `tasks` has the steps built on it.
 
-    A batch that fails is asked again row by row, so that one bad row costs itself only.
+    A batch that fails is asked again row by row, so that one bad row costs itself only. Answers go on in pieces of
+    about LETTERS characters, so what a worker holds of them doesn't grow with Spark's batches.
     """
+    most = LETTERS
 
     @F.pandas_udf(kind)
     def ask(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         call = factory()
         for part in parts:
             out: list = []
+            size = 0
             for lo in range(0, len(part), batch):
+                start = len(out)
                 texts = part.iloc[lo : lo + batch].tolist()
                 try:
                     out += with_retry(call, texts, tries, wait)
@@ -72,7 +79,12 @@ def generated(df: DataFrame, prompt: Column, factory: Callable[[], Callable[[lis
                             out += with_retry(call, [t], tries, wait)
                         except Exception:
                             out.append(None)
-            yield pd.Series(out, dtype=object)
+                size += sum(len(x) for x in out[start:] if isinstance(x, str)) + len(out) - start
+                if size > most:
+                    yield pd.Series(out, dtype=object)
+                    out, size = [], 0
+            if out or not len(part):
+                yield pd.Series(out, dtype=object)
 
     return df.withColumn(name, ask(prompt))
 

@@ -1,8 +1,9 @@
 """What a row asks for more than once is computed once; what Python holds doesn't grow with a batch."""
 
+import pandas as pd
 from pyspark.sql import functions as F
 
-from millrace.operators import code
+from millrace.operators import code, models
 
 
 def test_pattern_flags_lower_the_diff_once(spark):
@@ -10,3 +11,25 @@ def test_pattern_flags_lower_the_diff_once(spark):
     assert df._jdf.queryExecution().analyzed().toString().count("lower(coalesce(d") == 1
     got = [r.p for r in df.collect()]
     assert "state-machine" in got[0] and "macro" in got[0] and got[1] == []
+
+
+def test_answers_go_on_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(models, "LETTERS", 1000)
+    pieces = []
+
+    def factory():
+        return lambda texts: [t * 100 for t in texts]
+
+    real = F.pandas_udf
+
+    def watched(kind):
+        def wrap(f):
+            pieces.extend(len(x) for x in f(iter([pd.Series(["abc"] * 100)])))
+            return real(kind)(f)
+
+        return wrap
+
+    monkeypatch.setattr(F, "pandas_udf", watched)
+    df = models.generated(spark.range(100).select(F.lit("abc").alias("t")).coalesce(1), F.col("t"), factory)
+    assert len(pieces) > 5 and sum(pieces) == 100
+    assert [r.answer for r in df.collect()] == ["abc" * 100] * 100
