@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import accumulate
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,10 @@ from millrace.functions.text import clean_text, paragraphs, sentences, word_coun
 TRANSITION_STARTS = frozenset("But However Thus Moreover Yet Therefore Nevertheless Still Indeed Furthermore Meanwhile Consequently And So Then Now".split())
 
 
+#: Texts that are cut at a time.
+TEXTS = 64
+
+
 @dataclass(frozen=True)
 class Windows:
     """Overlapping windows of sentences.
@@ -67,14 +73,20 @@ ORIGINALS = Windows(target=150, overlap=1, slack=1.1, least=100, tail=50, enough
 def overlapping(parts: Column, windows: Windows) -> Column:
     """array<struct<text, words, sentences>> of an array of sentences."""
 
-    @F.pandas_udf("array<struct<text:string,words:int,sentences:int>>")
-    def cut(col: pd.Series) -> pd.Series:
+    kind = pa.list_(pa.struct([("text", pa.string()), ("words", pa.int32()), ("sentences", pa.int32())]))
+    most = TEXTS
+
+    @F.arrow_udf("array<struct<text:string,words:int,sentences:int>>")
+    def cut(cols: Iterator[pa.Array]) -> Iterator[pa.Array]:
         def one(xs) -> list:
-            xs = [] if xs is None else list(xs)
+            xs = [] if xs is None else xs
             lengths = [len(x.split()) for x in xs]
             return [{"text": " ".join(xs[a:b]), "words": sum(lengths[a:b]), "sentences": b - a} for a, b in windows.spans(lengths)]
 
-        return col.map(one)
+        # In pieces, so that few texts are Python objects at a time.
+        for col in cols:
+            for lo in range(0, max(1, len(col)), most):
+                yield pa.array([one(xs) for xs in col.slice(lo, most).to_pylist()], kind)
 
     return cut(parts)
 
