@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from millrace.operators import chunking, code, models
+from millrace.plans.catalogue import QUERIES
 
 
 def test_pattern_flags_lower_the_diff_once(spark):
@@ -53,3 +54,8 @@ def test_texts_are_cut_in_pieces(spark, monkeypatch):
     got = chunking.corpus_chunks(df, "k", "t").collect()
     assert pieces == [7, 7, 7]
     assert len({r.k for r in got}) == 20 and all(r.words >= 100 for r in got)
+
+
+def test_quality_reasons_find_words_once(spark, sf_dir):
+    plan = QUERIES["quality_reasons"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(coalesce(") == 1 and plan.count("array_min") == 1
